@@ -6,8 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def seconds(samples: Column | str, sampling_rate: int) -> Column:
-    """Seconds with two decimals, rounded half up in integer arithmetic."""
+def centis(samples: Column | str, sampling_rate: int) -> Column:
+    """Hundredths of a second, rounded half up in integer arithmetic."""
     col = F.col(samples) if isinstance(samples, str) else samples
-    hundredths = F.floor((col * 100 + sampling_rate // 2) / F.lit(sampling_rate)).cast("bigint")
-    return hundredths / F.lit(100.0)
+    return F.floor((col * 100 + sampling_rate // 2) / F.lit(sampling_rate)).cast("bigint")
+
+
+def seconds(samples: Column | str, sampling_rate: int) -> Column:
+    """Seconds with two decimals."""
+    return centis(samples, sampling_rate) / F.lit(100.0)

@@ -55,12 +55,16 @@ def sample_utterances(df: DataFrame, index: DataFrame, n: Column, p: TrackParams
     ).select(*df.columns, F.col("spk").cast("bigint").alias("spk"), F.col("_slot.utt_no").alias("utt_no"))
 
 
+def slot_volume(p: TrackParams, track_id: Column | str, spk: Column | str) -> Column:
+    """Volume of a speaker position: a function of the track and the position, so never joined back."""
+    return rng.between(rng.uniform01(p.seed, "volume", track_id, spk), p.volume_min, p.volume_max)
+
+
 def speaker_slots(requests: DataFrame, index: DataFrame, p: TrackParams) -> DataFrame:
     """One row per (track, speaker position): the seed utterance, its speaker and a volume."""
     wanted = with_spec(by_track(requests.select("track_id")), p).select("track_id", "use_short", "n_spk")
     slots = sample_utterances(wanted, index, F.col("n_spk"), p)
-    volume = rng.between(rng.uniform01(p.seed, "volume", "track_id", "spk"), p.volume_min, p.volume_max)
-    return slots.join(index, "utt_no").withColumn("volume", volume)
+    return slots.join(index, "utt_no").withColumn("volume", slot_volume(p, "track_id", "spk"))
 
 
 def _draws(slots: DataFrame, p: TrackParams) -> DataFrame:
@@ -83,12 +87,12 @@ def _draws(slots: DataFrame, p: TrackParams) -> DataFrame:
         lambda many: rng.distinct_below(F.col("_n"), F.col("_k"), lambda i: rng.nth(many, i)),
     )
     out = out.select(
-        "track_id", "spk", "speaker_id", "volume", "kind", "_own",
+        "track_id", "spk", "speaker_id", "kind", "_own",
         F.posexplode(picked).alias("_i", "_drawn"),
     )
     skip_seed = F.when(F.col("_drawn") >= F.col("_own"), 1).otherwise(0)
     return out.select(
-        "track_id", "spk", "speaker_id", "volume", "kind",
+        "track_id", "spk", "speaker_id", "kind",
         (F.col("_i") + 1).cast("bigint").alias("pool_rank"),
         (F.col("_drawn") + skip_seed).alias("position"),
     )
@@ -106,10 +110,10 @@ def _members(index: DataFrame, by_all: str, by_short: str, *keys: str) -> DataFr
 
 
 def build_pools(slots: DataFrame, index: DataFrame, p: TrackParams) -> DataFrame:
-    """Pools ``(track_id, spk, pool_rank, utt_id, n_samples, volume)``: the seed at rank 0 and up to
+    """Pools ``(track_id, spk, pool_rank, utt_id, n_samples)``: the seed at rank 0 and up to
     ``target_count`` other utterances of its speaker (short ones only, if wanted and there are any).
     """
-    columns = ["track_id", "spk", "pool_rank", "utt_id", "n_samples", "volume"]
+    columns = ["track_id", "spk", "pool_rank", "utt_id", "n_samples"]
     seeds = slots.withColumn("pool_rank", F.lit(0).cast("bigint")).select(*columns)
     draws = _draws(slots, p)
     same_speaker = draws.where(F.col("speaker_id").isNotNull()).join(

@@ -20,9 +20,17 @@ from .specs import with_spec
 # Fixed value: simultaneous speech needs a segment among this many latest events.
 RECENT_EVENTS = 5
 
-_TURN = Window.partitionBy("track_id").orderBy("turn")
-_BEFORE = _TURN.rowsBetween(Window.unboundedPreceding, -1)
-_SO_FAR = _TURN.rowsBetween(Window.unboundedPreceding, 0)
+
+def _by_turn():
+    return Window.partitionBy("track_id").orderBy("turn")
+
+
+def _before():
+    return _by_turn().rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _so_far():
+    return _by_turn().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def sized_pools(pools: DataFrame, p: TrackParams) -> DataFrame:
@@ -119,9 +127,9 @@ def decide_kinds(turns: DataFrame, p: TrackParams) -> DataFrame:
     """
     d = turns.withColumn("_d", rng.digest(p.seed, "gap", "track_id", "turn"))
     swallowed = F.coalesce(F.col("sim_samples") >= F.col("n_samples"), F.lit(False))
-    last_left = F.coalesce(F.max(F.when(~swallowed, F.col("turn"))).over(_SO_FAR), F.lit(-1))
+    last_left = F.coalesce(F.max(F.when(~swallowed, F.col("turn"))).over(_so_far()), F.lit(-1))
     d = d.withColumn("_run", F.col("turn") - last_left)
-    blocked = F.coalesce(F.lag("_run").over(_TURN), F.lit(0)) % (RECENT_EVENTS + 1) == RECENT_EVENTS
+    blocked = F.coalesce(F.lag("_run").over(_by_turn()), F.lit(0)) % (RECENT_EVENTS + 1) == RECENT_EVENTS
     d = d.withColumn("sim_eligible", F.col("sim_samples").isNotNull() & ~blocked)
     long_pause = rng.between(rng.lane("_d", 3), p.long_pause_min, p.long_pause_max) * F.lit(1000.0)
     short_pause = rng.between(rng.lane("_d", 3), p.pause_min_ms, p.pause_max_ms)
@@ -155,17 +163,17 @@ def timeline(turns: DataFrame, p: TrackParams) -> DataFrame:
     """
     limit = F.col("target_samples") - p.end_reserve
     d = turns.withColumn(
-        "_at", F.coalesce(F.sum(F.col("drawn_pause") + F.col("n_samples")).over(_BEFORE), F.lit(0))
+        "_at", F.coalesce(F.sum(F.col("drawn_pause") + F.col("n_samples")).over(_before()), F.lit(0))
     )
     reaches = (F.col("drawn_pause") > 0) & (F.col("_at") + F.col("drawn_pause") > limit)
-    d = d.withColumn("_first", F.min(F.when(reaches, F.col("turn"))).over(_SO_FAR))
+    d = d.withColumn("_first", F.min(F.when(reaches, F.col("turn"))).over(_so_far()))
     d = d.withColumn(
         "pause",
         F.when(F.col("_first").isNull(), F.col("drawn_pause"))
         .when(F.col("_first") == F.col("turn"), F.greatest(F.lit(0).cast("bigint"), limit - F.col("_at")))
         .otherwise(F.lit(0).cast("bigint")),
     )
-    d = d.withColumn("cum_after", F.sum(F.col("pause") + F.col("n_samples")).over(_SO_FAR))
+    d = d.withColumn("cum_after", F.sum(F.col("pause") + F.col("n_samples")).over(_so_far()))
     d = d.withColumn("cum_before", F.col("cum_after") - F.col("pause") - F.col("n_samples"))
     return d.where(F.col("cum_before") < F.col("target_samples")).drop("_at", "_first")
 
