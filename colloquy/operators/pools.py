@@ -127,3 +127,29 @@ def build_pools(slots: DataFrame, index: DataFrame, p: TrackParams) -> DataFrame
         )
         pools = pools.unionByName(anyone.select(*columns))
     return pools
+
+
+def short_or_all(utterances: DataFrame, max_samples: int) -> DataFrame:
+    """Short utterances of each speaker; all of them for a speaker without any."""
+    filled = utterances.where(F.col("n_samples") > 0)
+    short = filled.where(F.col("n_samples") <= max_samples)
+    without = filled.join(short.select("speaker_id").distinct(), "speaker_id", "left_anti")
+    return short.unionByName(without.select(*short.columns))
+
+
+def speaker_index(utterances: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """Utterance ids of each speaker in dataset order, in pieces of at most ``chunk`` ids.
+
+    A piece covers one id range, so its list is bounded however much one speaker owns.
+    """
+    return utterances.groupBy(
+        "speaker_id", F.floor(F.col("utt_id") / chunk).cast("bigint").alias("chunk")
+    ).agg(F.sort_array(F.collect_list("utt_id")).alias("utt_ids"))
+
+
+def unique_speakers(utterances: DataFrame, approximate: bool = False) -> DataFrame:
+    """Number of speakers; a missing speaker counts as one."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return utterances.agg(
+        (count("speaker_id") + F.max(F.col("speaker_id").isNull().cast("int"))).cast("bigint").alias("n_speakers")
+    )

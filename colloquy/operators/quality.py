@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..params import MAX_SPEAKER_SHARE, MIN_SPEAKER_SECONDS
+from ..functions.timing import centis, seconds
+from ..params import MAX_SPEAKER_SHARE, MIN_SPEAKER_SECONDS, TrackParams
+from .labels import has_segment
+from .specs import with_spec
 
 
 def difficulty(
@@ -19,9 +22,9 @@ def difficulty(
     return F.when(score <= 2, "easy").when(score <= 4, "medium").otherwise("hard")
 
 
-def mean_seconds(centis: Column) -> Column:
+def mean_seconds(length: Column) -> Column:
     """Mean segment duration in seconds as an aggregate; 0 without segments."""
-    return F.coalesce(F.sum(centis) / (F.count(centis) * F.lit(100.0)), F.lit(0.0))
+    return F.coalesce(F.sum(length) / (F.count(length) * F.lit(100.0)), F.lit(0.0))
 
 
 def two_decimals(hundredths: Column) -> Column:
@@ -36,11 +39,11 @@ def speaker_time(segments: DataFrame) -> DataFrame:
     )
 
 
-def short_speaker_warnings(centis: Column, speaker_id: Column, minimum: float = MIN_SPEAKER_SECONDS) -> Column:
+def short_speaker_warnings(total_centis: Column, speaker_id: Column, minimum: float = MIN_SPEAKER_SECONDS) -> Column:
     """Warning text for a speaker below the minimum, else null."""
     return F.when(
-        centis < F.lit(minimum * 100),
-        F.format_string(f"Speaker %d has duration %ss < {minimum}s", speaker_id, two_decimals(centis)),
+        total_centis < F.lit(minimum * 100),
+        F.format_string(f"Speaker %d has duration %ss < {minimum}s", speaker_id, two_decimals(total_centis)),
     )
 
 
@@ -84,6 +87,37 @@ def validate(
     ).drop("_short")
 
 
+def summarise(turns: DataFrame, p: TrackParams) -> DataFrame:
+    """Class and verdict of every track in two aggregates over the planner's own partitioning."""
+    spoken = has_segment()
+    length = F.when(spoken, centis("n_samples", p.sampling_rate))
+    per_speaker = turns.groupBy("track_id", "spk").agg(
+        F.coalesce(F.sum(length), F.lit(0)).alias("centis"), F.count(length).alias("n_segments"),
+        F.max("cum_after").alias("total_samples"),
+        F.bool_or(F.col("kind") == "overlap").alias("has_overlaps"),
+        F.bool_or(F.col("kind") == "simultaneous").alias("has_simultaneous"),
+    )
+    heard = F.col("n_segments") > 0
+    per_track = per_speaker.groupBy("track_id").agg(
+        F.count_if(heard).alias("num_speakers"),
+        F.sum("n_segments").alias("n_segments"), F.sum("centis").alias("_sum"), F.max("centis").alias("_max"),
+        F.min(F.when(heard, F.col("centis"))).alias("_min"),
+        F.max("total_samples").alias("total_samples"),
+        F.bool_or("has_overlaps").alias("has_overlaps"), F.bool_or("has_simultaneous").alias("has_simultaneous"),
+    )
+    mean = F.when(F.col("n_segments") > 0, F.col("_sum") / (F.col("n_segments") * 100.0)).otherwise(0.0)
+    share = F.when(F.col("_sum") > 0, F.col("_max") / F.col("_sum"))
+    fair = (F.col("_min") >= MIN_SPEAKER_SECONDS * 100) & (share <= MAX_SPEAKER_SHARE)
+    return with_spec(per_track, p).select(
+        "track_id", F.col("pattern").alias("conversation_type"), "num_speakers",
+        seconds("total_samples", p.sampling_rate).alias("duration"),
+        difficulty(
+            F.col("num_speakers"), F.col("has_overlaps"), F.col("has_simultaneous"), F.col("want_noise"), mean
+        ).alias("difficulty"),
+        "n_segments", F.round(share, 9).alias("max_share"), F.coalesce(fair, F.lit(True)).alias("is_valid"),
+    )
+
+
 def dataset_stats(tracks: DataFrame) -> DataFrame:
     """Counts and duration range per conversation type and difficulty."""
     return tracks.groupBy("conversation_type", "difficulty").agg(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import labels, quality, rows
 from ..operators.pools import build_pools, speaker_slots, utterance_index
@@ -39,13 +38,7 @@ class Plan:
 
     def summary(self) -> DataFrame:
         """Flagship result: one flat row per track with its class and quality verdict."""
-        turns = self.turns
-        flat = rows.track_rows(turns, self.params).select(
-            "track_id", "conversation_type", "num_speakers", "duration", "difficulty", "has_noise",
-            F.size("speakers").cast("bigint").alias("n_segments"),
-        )
-        verdict = quality.validate(labels.segments(turns, self.params)).select("track_id", "is_valid", "max_share")
-        return flat.join(verdict, "track_id")
+        return quality.summarise(self.turns, self.params)
 
 
 def plan(utterances: DataFrame, requests: DataFrame, params: TrackParams | None = None) -> Plan:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .utterances import read_utterances
@@ -57,10 +57,8 @@ def track_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.col("c_custkey").cast("bigint").alias("track_id"))
 
 
-def conversation_segments(spark: SparkSession, sf_dir: str, sampling_rate: int = 16_000) -> DataFrame:
+def conversation_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as annotated tracks: one segment per turn, laid end to end."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("track_id").orderBy("seg_idx")
     raw = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return raw.select(
@@ -73,3 +71,17 @@ def conversation_segments(spark: SparkSession, sf_dir: str, sampling_rate: int =
     ).withColumn(
         "cum_after", F.sum("n_samples").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("cum_before", F.col("cum_after") - F.col("n_samples"))
+
+
+def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as planned turns, so that everything downstream of planning can run on them."""
+    segs = conversation_segments(spark, sf_dir)
+    overlapped = (F.col("track_id") % 3 == 0) & (F.col("seg_idx") == 1)
+    return segs.select(
+        "track_id", F.col("seg_idx").alias("turn"), (F.col("speaker_id") - 1).alias("spk"),
+        F.lit(3).cast("bigint").alias("n_spk"), "n_samples",
+        F.when(overlapped, "overlap").otherwise("plain").alias("kind"),
+        F.lit(0).cast("bigint").alias("pause"),
+        F.lit(None).cast("bigint").alias("sim_spk"), F.lit(None).cast("bigint").alias("sim_samples"),
+        "cum_before", "cum_after", "text",
+    )
