@@ -518,8 +518,8 @@ WITH pair AS (
     list_avg(list_transform(s.audio, lambda x: x * x)) AS ps, list_avg(list_transform(n.audio, lambda x: x * x)) AS pn
   FROM {_D} s JOIN {_D} n ON n.utt_id = s.utt_id + 1),
 mixed AS (
-  SELECT *, list_transform(sig, lambda x, i: x + noi[i] * sqrt(ps / pow(10e0, wanted / 10e0) / pn)) AS both FROM pair)
-SELECT utt_id, round(wanted, 6) AS wanted, round(wanted, 6) AS reached, {micro(_limited('both'))} AS samples FROM mixed""")
+  SELECT *, list_transform(sig, lambda x, i: x + noi[i] * sqrt(ps / pow(10e0, wanted / 10e0) / pn)) AS mix FROM pair)
+SELECT utt_id, round(wanted, 6) AS wanted, round(wanted, 6) AS reached, {micro(_limited('mix'))} AS samples FROM mixed""")
 
 
 def _wave_sql(k: Knobs) -> str:

@@ -148,6 +148,7 @@ def build_waveforms(turns: DataFrame, audio: DataFrame, p: TrackParams, noise: b
 def noise_clips(df: DataFrame, kind: Column, key: Column, n: Column, sampling_rate: int) -> DataFrame:
     """Add ``noise`` (``array<double>``, unit peak): ``n`` samples of a kind from a 32-bit key."""
     wide = df.withColumns({"_kind": kind, "_key": key, "_n": n})
+    names = list(df.columns)
 
     def clips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,9 +158,9 @@ def noise_clips(df: DataFrame, kind: Column, key: Column, n: Column, sampling_ra
             ]
             bounds = np.concatenate(([0], np.cumsum([len(x) for x in made], dtype=np.int64))).astype(np.int32)
             flat = np.concatenate(made) if made else np.zeros(0)
-            kept = [batch.column(name) for name in df.columns]
+            kept = [batch.column(name) for name in names]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], [*df.columns, "noise"]
+                [*kept, pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], [*names, "noise"]
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
