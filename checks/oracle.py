@@ -125,7 +125,7 @@ def slots(utterances: str, k: Knobs = DEFAULT) -> str:
     """CTEs up to ``slots``: which utterance seeds which speaker position."""
     return spec_from(REQUESTS, k) + f""",
 utt AS ({utterances}),
-idx AS (SELECT utt_id, speaker_id, n_samples, n_samples <= {k.rate} AS is_short,
+idx AS MATERIALIZED (SELECT utt_id, speaker_id, n_samples, n_samples <= {k.rate} AS is_short,
     row_number() OVER (ORDER BY utt_id) - 1 AS utt_no,
     row_number() OVER (PARTITION BY speaker_id ORDER BY utt_id) - 1 AS s_rank,
     count(*) OVER (PARTITION BY speaker_id) AS s_n,
@@ -143,7 +143,7 @@ seed_steps AS (
     list_append(got, CASE WHEN list_contains(got, t) THEN n - n_spk + i ELSE t END)
   FROM (SELECT *, {floor(u('seed', 'track_id', 'i') + ' * (n - n_spk + i + 1)')} AS t
         FROM seed_steps WHERE i < n_spk)),
-slots AS (
+slots AS MATERIALIZED (
   SELECT s.track_id, row_number() OVER (PARTITION BY s.track_id ORDER BY {md5('slot', 's.track_id', 's.utt_no')}) - 1 AS spk,
     idx.*
   FROM (SELECT track_id, unnest(got) AS utt_no FROM seed_steps WHERE i = n_spk) s JOIN idx USING (utt_no))"""
@@ -175,7 +175,7 @@ pool_steps AS (
 picked AS (
   SELECT track_id, spk, speaker_id, kind, pool_rank, got[pool_rank] + (CASE WHEN got[pool_rank] >= own THEN 1 ELSE 0 END) AS pos
   FROM (SELECT *, unnest(range(1, len(got) + 1)) AS pool_rank FROM pool_steps WHERE i = k)),
-pools AS (
+pools AS MATERIALIZED (
   SELECT track_id, spk, 0::BIGINT AS pool_rank, utt_id, n_samples FROM slots
   UNION ALL
   SELECT p.track_id, p.spk, p.pool_rank::BIGINT, i.utt_id, i.n_samples FROM picked p JOIN idx i
@@ -210,14 +210,14 @@ def turns(utterances: str, k: Knobs = DEFAULT) -> str:
     long_ms = span(lane("gap", 3), 2, 5) + " * 1000e0"
     short_ms = span(lane("gap", 3), 200, 1200)
     return pools(utterances, k) + f""",
-sizes AS (
+sizes AS MATERIALIZED (
   SELECT track_id, count(*) AS n, list(size ORDER BY spk) AS sizes, list(total ORDER BY spk) AS totals
   FROM (SELECT track_id, spk, count(*) AS size, sum(n_samples)::BIGINT AS total FROM pools GROUP BY ALL) GROUP BY 1),
-rounds AS (
+rounds AS MATERIALIZED (
   SELECT track_id, spk, utt_id, n_samples, sizes[spk + 1] AS size,
     unnest(range(target_samples // totals[spk + 1] + 1)) AS round
   FROM pools JOIN sizes USING (track_id) JOIN spec USING (track_id)),
-deck AS (
+deck AS MATERIALIZED (
   SELECT track_id, spk, utt_id, n_samples,
     round * size + row_number() OVER (PARTITION BY track_id, spk, round
       ORDER BY {md5('pick', 'track_id', 'spk', 'round', 'utt_id')}, utt_id) - 1 AS nth
@@ -504,7 +504,9 @@ _LOUD = f"(SELECT utt_id, list_transform(audio, lambda x: x * 3e0) AS audio FROM
 
 
 def _limited(array: str) -> str:
-    return f"list_transform({array}, lambda x: x / greatest(1e0, list_max(list_transform({array}, lambda y: abs(y)))))"
+    """Divide by the peak if it exceeds 1; the peak is bound once per row."""
+    peak = f"greatest(1e0, list_max(list_transform({array}, lambda y: abs(y))))"
+    return f"list_transform([{peak}], lambda top: list_transform({array}, lambda x: x / top))[1]"
 
 
 sql("dsp_normalize", f"SELECT utt_id, {micro(_limited('audio'))} AS samples FROM {_LOUD}")
