@@ -559,6 +559,16 @@ sql("track_waveforms", with_(turns(WAVES, NOISY), """
 SELECT track_id, max(cum_after) AS n_samples, any_value(round(snr_db, 6)) AS snr, true AS within_range
 FROM turns JOIN spec USING (track_id) GROUP BY track_id"""))
 
+_NOISY = turns(WAVES, NOISY)
+sql("dataset_written", with_(_NOISY, f"""
+SELECT track_id, pattern AS conversation_type, n AS num_speakers,
+  {_difficulty('n', 'has_o', 'has_s', 'want_noise', 'mean')} AS difficulty, noise_type,
+  round(round(snr_db, 2), 1) AS snr, total AS n_samples, n_segments
+FROM (
+  SELECT track_id, max(cum_after) AS total, count(DISTINCT spk) FILTER (spoken) AS n, count(*) FILTER (spoken) AS n_segments,
+    bool_or(kind = 'overlap') AS has_o, bool_or(kind = 'simultaneous') AS has_s, 2.0 AS mean
+  FROM turns GROUP BY 1) JOIN spec USING (track_id)"""))
+
 
 def _hash32(x: str, alias: str) -> str:
     """Nested selects that hash column ``x`` (a 32-bit counter) step by step into ``alias``."""

@@ -23,6 +23,12 @@ def speaker_count(pattern: Column, u: Column) -> Column:
     return chain.otherwise(rng.integer(u, *speaker_range.other))
 
 
+def target_length(shape: Column, p: TrackParams) -> Column:
+    """Samples a track should reach, from its shape digest."""
+    wanted = rng.between(rng.lane(shape, 2), p.min_duration, p.max_duration)
+    return rng.whole(wanted * F.lit(float(p.sampling_rate)))
+
+
 def with_spec(df: DataFrame, p: TrackParams) -> DataFrame:
     """Add the specification of ``track_id``.
 
@@ -34,9 +40,7 @@ def with_spec(df: DataFrame, p: TrackParams) -> DataFrame:
     out = df.withColumns({"_shape": shape, "_mood": mood})
     out = out.withColumns({
         "pattern": rng.weighted(rng.lane("_shape", 0), p.pattern_weights, "dialogue"),
-        "target_samples": rng.whole(
-            rng.between(rng.lane("_shape", 2), p.min_duration, p.max_duration) * F.lit(float(p.sampling_rate))
-        ),
+        "target_samples": target_length(F.col("_shape"), p),
         "use_short": rng.lane("_shape", 3) < F.lit(p.short_probability),
         "want_sim": rng.lane("_mood", 0) < F.lit(p.simultaneous_probability),
         "want_noise": rng.lane("_mood", 1) < F.lit(p.noise_probability),

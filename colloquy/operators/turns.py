@@ -15,7 +15,7 @@ from ..functions import rng
 from ..params import TrackParams
 from ..session import by_track
 from .patterns import assign_speakers
-from .specs import with_spec
+from .specs import target_length, with_spec
 
 # Fixed value: simultaneous speech needs a segment among this many latest events.
 RECENT_EVENTS = 5
@@ -41,8 +41,10 @@ def sized_pools(pools: DataFrame, p: TrackParams) -> DataFrame:
     """
     pool = Window.partitionBy("track_id", "spk")
     by_length = pool.orderBy("n_samples", "pool_rank").rowsBetween(Window.unboundedPreceding, 0)
-    spec = with_spec(pools, p).select(*pools.columns, (F.col("target_samples") - 1).alias("_room"))
-    laid = spec.withColumns({
+    # worked out on one row per pool only: a digest per pool member would dominate the cost
+    target = F.when(F.col("pool_rank") == 0, target_length(rng.digest(p.seed, "spec", "track_id"), p))
+    laid = pools.withColumns({
+        "_room": F.max(target).over(pool) - 1,
         "_prefix": F.sum("n_samples").over(by_length),
         "_total": F.sum("n_samples").over(pool),
         "pool_size": F.count("*").over(pool),
@@ -90,17 +92,21 @@ def pick_order(sized: DataFrame, p: TrackParams) -> DataFrame:
 def pick_utterances(turns: DataFrame, order: DataFrame) -> DataFrame:
     """Give every turn its utterance: random among the unused ones, all again once they are used up.
 
-    Turns a speaker could only take after the end of the track find no match and are cut.
+    Turns a speaker could only take after the end of the track find no match. Turns that start past the
+    target even without pauses are cut here, before anything else is drawn for them.
     """
     by_speaker = Window.partitionBy("track_id", "spk").orderBy("turn")
     numbered = turns.withColumn("nth", (F.row_number().over(by_speaker) - 1).cast("bigint"))
-    return numbered.join(order, ["track_id", "spk", "nth"])
+    # both sides are partitioned by track already: a merge join moves no row, a broadcast would
+    picked = numbered.join(order.hint("merge"), ["track_id", "spk", "nth"])
+    spoken = F.coalesce(F.sum("n_samples").over(_before()), F.lit(0))
+    return picked.withColumn("_spoken", spoken).where(F.col("_spoken") < F.col("target_samples")).drop("_spoken")
 
 
 def simultaneous_partner(turns: DataFrame, pools: DataFrame, p: TrackParams) -> DataFrame:
     """Another speaker, one of its utterances and the common length, for tracks that want it."""
-    d = turns.withColumn("_d", rng.digest(p.seed, "partner", "track_id", "turn"))
     wanted = F.col("want_sim") & (F.col("n_spk") > 1) & (F.col("turn") > 0)
+    d = turns.withColumn("_d", F.when(wanted, rng.digest(p.seed, "partner", "track_id", "turn")))
     d = d.withColumn(
         "sim_spk",
         F.when(wanted, (F.col("spk") + 1 + rng.below(rng.lane("_d", 0), F.col("n_spk") - 1)) % F.col("n_spk")),
@@ -114,7 +120,7 @@ def simultaneous_partner(turns: DataFrame, pools: DataFrame, p: TrackParams) ->
     drawn = rng.whole(
         rng.between(rng.lane("_d", 2), p.simultaneous_min, p.simultaneous_max) * F.lit(float(p.sampling_rate))
     )
-    return d.join(other, ["track_id", "sim_spk", "_rank"], "left").withColumn(
+    return d.join(other.hint("merge"), ["track_id", "sim_spk", "_rank"], "left").withColumn(
         "sim_samples", F.when(wanted, F.least(drawn, F.col("n_samples"), F.col("_other")))
     ).drop("_d", "_rank", "_other")
 

@@ -11,15 +11,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import kernels, rng
 from ..params import TrackParams
+from ..session import by_track
 from .labels import has_segment
 from .pools import slot_volume
 from .specs import with_spec
 
+_BYTES = 4
+
 _PIECE = (
     ("utt_id", "bigint"), ("position", "bigint"), ("offset", "bigint"), ("length", "bigint"),
     ("gain", "double"), ("half_tail", "bigint"), ("block", "bigint"),
@@ -82,17 +88,41 @@ def pieces(turns: DataFrame, p: TrackParams) -> DataFrame:
             gain=slot_volume(p, "track_id", "sim_spk") / 2.0, block=F.col("turn"),
         )),
     )
-    return t.select("track_id", "total_samples", F.inline(F.array_compact(parts)))
+    keys = ["shard"] if "shard" in turns.columns else []
+    return t.select(*keys, "track_id", "total_samples", F.inline(F.array_compact(parts)))
+
+
+def pack_audio(audio: DataFrame) -> DataFrame:
+    """``(utt_id, audio)`` with the samples as little-endian 32-bit floats in one binary value.
+
+    Joins, shuffles and Python hand-over copy a binary value as a block; an array they touch sample by
+    sample. A stored table in this form (bucketed by ``utt_id``) saves the step altogether.
+    """
+    if dict(audio.dtypes)["audio"] == "binary":
+        return audio.select("utt_id", "audio")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [x.astype("<f4").tobytes() for x in _lists(pa.chunked_array([batch.column("audio")]))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("utt_id"), pa.array(packed, pa.binary())], ["utt_id", "audio"]
+            )
+
+    ready = audio.where(F.col("audio").isNotNull()).select("utt_id", F.col("audio").cast("array<float>").alias("audio"))
+    return ready.mapInArrow(pack, "utt_id bigint, audio binary")
 
 
 def cut_slices(piece_rows: DataFrame, audio: DataFrame) -> DataFrame:
-    """Fetch the slice of each piece; ``audio`` is ``(utt_id, audio)``.
+    """Fetch the slice of each piece, as packed samples, from packed ``(utt_id, audio)``.
 
-    Keep the audio table bucketed by ``utt_id`` and only the piece rows move in this join.
+    Always a merge join: audio is never broadcast, whatever its compressed size suggests. With audio bucketed
+    by ``utt_id`` only the piece rows move.
     """
-    return piece_rows.join(audio.select("utt_id", "audio"), "utt_id").withColumn(
-        "chunk", F.slice("audio", (F.col("offset") + 1).cast("int"), F.col("length").cast("int")).cast("array<float>")
-    ).drop("audio", "offset", "length", "utt_id")
+    keys = ["shard"] if "shard" in piece_rows.columns else []
+    return piece_rows.join(audio.hint("merge"), "utt_id").select(
+        *keys, "track_id", "total_samples", "position", "gain", "half_tail", "block",
+        F.substring("audio", F.col("offset").cast("int") * _BYTES + 1, F.col("length").cast("int") * _BYTES).alias("chunk"),
+    )
 
 
 def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -104,26 +134,40 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True) -> DataFrame:
+def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFrame | None = None) -> DataFrame:
     """Add the slices of each track into one waveform, add its noise, limit the peak.
 
-    Returns ``(track_id, audio, snr)``; ``snr`` is the measured ratio, null without noise.
+    Returns ``(track_id, audio, snr)``; ``snr`` is the measured ratio, null without noise. With a ``shard`` column
+    the slices are partitioned by shard, so that a finished track is already where its file is written.
+    ``rows`` (same keys, any further columns) travel with the slices and come back as the struct ``row``: the
+    finished audio needs no join.
     """
     sampling_rate = p.sampling_rate
-    planned = with_spec(slices, p).select(
-        "track_id", "total_samples", "position", "gain", "half_tail", "block", "chunk",
+    keys = ["shard", "track_id"] if "shard" in slices.columns else ["track_id"]
+    row_type = None
+    if rows is not None:
+        carried = [c for c in rows.columns if c not in keys]
+        tagged = rows.select(*keys, F.struct(*carried).alias("row"))
+        # the same type with every part nullable, as declared to the grouped function
+        row_type = T.StructType.fromDDL(f"row {tagged.schema['row'].dataType.simpleString()}")["row"].dataType
+        arrow_row_type = to_arrow_type(row_type)
+        slices = slices.unionByName(tagged, allowMissingColumns=True)
+    planned = by_track(with_spec(slices, p).select(
+        *keys, "total_samples", "position", "gain", "half_tail", "block", "chunk",
+        *(["row"] if row_type else []),
         (F.col("noise_type") if noise else F.lit(None).cast("string")).alias("noise_type"), "snr_db",
         F.conv(F.substring(rng.digest(p.seed, "noise", "track_id"), 1, 8), 16, 10).cast("bigint").alias("noise_key"),
-    )
+    ), keys[0])
 
     def one_track(table: pa.Table) -> pa.Table:
-        first = {name: table.column(name)[0].as_py() for name in ("track_id", "total_samples", "noise_type", "snr_db", "noise_key")}
-        numbers = {name: table.column(name).to_numpy() for name in ("position", "gain", "half_tail", "block")}
+        first = {name: table.column(name)[0].as_py() for name in (*keys, "noise_type", "snr_db", "noise_key")}
+        heard = table.filter(pc.is_valid(table.column("position")))
+        numbers = {name: heard.column(name).to_numpy() for name in ("position", "gain", "half_tail", "block")}
         # fixed order of additions: sums of floats must not depend on how rows arrived
         order = np.lexsort((numbers["gain"], numbers["block"], numbers["position"]))
-        chunks = _lists(table.column("chunk"))
+        chunks = [np.frombuffer(x.as_buffer(), "<f4") for x in heard.column("chunk")]
         wave = kernels.lay_pieces(
-            first["total_samples"], [chunks[i] for i in order],
+            heard.column("total_samples")[0].as_py(), [chunks[i] for i in order],
             *[numbers[name][order] for name in ("position", "gain", "half_tail", "block")],
         )
         snr = None
@@ -131,18 +175,22 @@ def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True) -> DataFrame
             added = kernels.noise(first["noise_type"], first["noise_key"], len(wave), sampling_rate)
             wave, snr = kernels.mix_at_snr(wave, added, first["snr_db"])
         wave = kernels.limit_peak(wave).astype(np.float32)
-        return pa.table({
-            "track_id": pa.array([first["track_id"]], pa.int64()),
-            "audio": pa.ListArray.from_arrays(pa.array([0, len(wave)], pa.int32()), pa.array(wave)),
-            "snr": pa.array([snr], pa.float64()),
-        })
+        out = {name: pa.array([first[name]], pa.int64()) for name in keys}
+        out["audio"] = pa.ListArray.from_arrays(pa.array([0, len(wave)], pa.int32()), pa.array(wave))
+        out["snr"] = pa.array([snr], pa.float64())
+        if row_type:
+            out["row"] = table.filter(pc.is_valid(table.column("row"))).column("row").combine_chunks().cast(arrow_row_type)
+        return pa.table(out)
 
-    return planned.groupBy("track_id").applyInArrow(one_track, "track_id bigint, audio array<float>, snr double")
+    schema = ", ".join(f"{k} bigint" for k in keys) + ", audio array<float>, snr double"
+    if row_type:
+        schema += f", row {row_type.simpleString()}"
+    return planned.groupBy(*keys).applyInArrow(one_track, schema)
 
 
 def build_waveforms(turns: DataFrame, audio: DataFrame, p: TrackParams, noise: bool = True) -> DataFrame:
     """Turns to waveforms."""
-    return mix_down(cut_slices(pieces(turns, p), audio), p, noise)
+    return mix_down(cut_slices(pieces(turns, p), pack_audio(audio)), p, noise)
 
 
 def noise_clips(df: DataFrame, kind: Column, key: Column, n: Column, sampling_rate: int) -> DataFrame:

@@ -17,7 +17,7 @@ from ..sinks import tables, wav
 from ..sources import adapters
 from ..sources.utterances import at_rate, audio_array, usable
 from ..streaming import incremental
-from .tracks import Plan, plan
+from .tracks import Plan, generate, plan
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -552,6 +552,19 @@ def track_waveforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dataset_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: plan, mix, store in shards, read back."""
+    path = work_path(spark, "dataset")
+    source = adapters.embedding_waves(spark, sf_dir)
+    generate(source, source, adapters.track_requests(spark, sf_dir), path, NOISY_WAVES, 1)
+    stored = spark.read.parquet(path)
+    return stored.select(
+        "track_id", "conversation_type", "num_speakers", "difficulty", "noise_type", F.round("snr", 1).alias("snr"),
+        F.size("audio.array").cast("bigint").alias("n_samples"), F.size("speakers").cast("bigint").alias("n_segments"),
+    )
+
+
 def _noise(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """One noise clip per conversation turn, as long as its text."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(

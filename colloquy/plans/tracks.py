@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..operators import labels, quality, rows
+from ..operators import labels, quality, rows, waveforms
 from ..operators.pools import build_pools, speaker_slots, utterance_index
 from ..operators.turns import plan_turns
 from ..params import TrackParams
 from ..session import stage, tune, work_path
+from ..sinks import tables
 
 
 @dataclass(frozen=True)
@@ -53,3 +55,33 @@ def plan(utterances: DataFrame, requests: DataFrame, params: TrackParams | None
     slots = speaker_slots(requests, index, params)
     pools = stage(build_pools(slots, index, params), work_path(spark, "pools"))
     return Plan(params, requests, utterances, index, slots, pools)
+
+
+def generate(
+    utterances: DataFrame,
+    audio: DataFrame,
+    requests: DataFrame,
+    out: str,
+    params: TrackParams | None = None,
+    max_megabytes: int = tables.SHARD_MEGABYTES,
+) -> DataFrame:
+    """Build the whole dataset: labelled tracks with audio, in shards below ``out``; returns the manifest.
+
+    ``audio`` is ``(utt_id, audio)``. Shards follow from planned lengths, before any audio is read; slices
+    then travel once, straight to the partition of their shard, together with the metadata.
+    """
+    made = plan(utterances, requests, params)
+    p = made.params
+    turns = stage(made.turns, work_path(utterances.sparkSession, "turns"))
+    lengths = turns.groupBy("track_id").agg(F.max("cum_after").alias("n"))
+    sizes = lengths.select("track_id", tables.row_bytes(tables.wav_bytes(F.col("n"))).alias("bytes"))
+    shards = tables.assign_shards(sizes, max_megabytes * 1024 * 1024).select("track_id", "shard")
+    meta = rows.track_rows(labels.with_text(turns, utterances), p).drop("snr").join(shards, "track_id")
+    pieces = waveforms.pieces(turns.join(shards, "track_id"), p)
+    slices = waveforms.cut_slices(pieces, waveforms.pack_audio(audio))
+    mixed = waveforms.mix_down(slices, p, rows=meta)
+    tracks = mixed.select(
+        "shard", "track_id", "row.*", F.round("snr", 2).alias("snr"),
+        F.struct(F.col("audio").alias("array"), F.lit(p.sampling_rate).cast("bigint").alias("sampling_rate")).alias("audio"),
+    )
+    return tables.write_tracks(tracks, out)

@@ -47,13 +47,13 @@ def assign_shards(sizes: DataFrame, max_bytes: int, id_col: str = "track_id", wi
     ).select(*sizes.columns, "shard")
 
 
-def to_track_schema(tracks: DataFrame, keep_id: bool = True) -> DataFrame:
+def to_track_schema(tracks: DataFrame, keep: tuple[str, ...] = ("track_id",)) -> DataFrame:
     """Exactly the stored columns and types, in order; absent optional columns become null."""
     have = set(tracks.columns)
     columns = [
         (F.col(name) if name in have else F.lit(None)).cast(kind).alias(name) for name, kind in TRACK_COLUMNS
     ]
-    return tracks.select(*(["track_id"] if keep_id else []), *columns)
+    return tracks.select(*[k for k in keep if k in have], *columns)
 
 
 def fill_texts(speakers: Column) -> Column:
@@ -66,17 +66,20 @@ def write_tracks(
 ) -> DataFrame:
     """Write track rows as one Parquet file per shard, replacing what was there; returns the manifest.
 
-    ``sizes`` is ``(track_id, bytes)``. Take it from the planned sample counts where tracks are costly; without
-    it the rows are measured, which evaluates ``tracks`` twice. Audio moves once, by shard, into its file.
+    Rows that have a ``shard`` column are taken to be partitioned by it and are written where they are.
+    Others get one from ``sizes``, ``(track_id, bytes)``. Take that from the planned sample counts where tracks are
+    costly; without it the rows are measured, which evaluates ``tracks`` twice.
     """
-    if sizes is None:
-        measured = wav_bytes(F.coalesce(F.size("audio.array"), F.lit(0)).cast("bigint"))
-        sizes = tracks.select("track_id", row_bytes(measured).alias("bytes"))
-    shards = assign_shards(sizes, max_megabytes * 1024 * 1024)
-    shaped = to_track_schema(tracks).withColumn("speakers", fill_texts(F.col("speakers")))
+    shaped = to_track_schema(tracks, keep=("shard", "track_id"))
+    shaped = shaped.withColumn("speakers", fill_texts(F.col("speakers")))
+    if "shard" not in tracks.columns:
+        if sizes is None:
+            measured = wav_bytes(F.coalesce(F.size("audio.array"), F.lit(0)).cast("bigint"))
+            sizes = tracks.select("track_id", row_bytes(measured).alias("bytes"))
+        shards = assign_shards(sizes, max_megabytes * 1024 * 1024)
+        shaped = shaped.join(shards.select("track_id", "shard"), "track_id").repartition("shard")
     (
-        shaped.join(shards.select("track_id", "shard"), "track_id")
-        .repartition("shard").sortWithinPartitions("shard", "track_id")
+        shaped.sortWithinPartitions("shard", "track_id")
         .write.mode("overwrite").partitionBy("shard")
         .option("compression", COMPRESSION)
         .option("parquet.compression.codec.zstd.level", COMPRESSION_LEVEL)
