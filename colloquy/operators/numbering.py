@@ -30,15 +30,16 @@ def running_totals(
     over the earlier rows of the same group, ``<name>_total`` the sum over the whole group. All
     windows share one exchange by block, for whatever group.
     """
-    out = df.withColumn("_block", block_of(id_col, width)).repartition("_block")
-    out = out.withColumns({f"_v_{name}": value.cast("bigint") for name, (_, value) in totals.items()})
+    values = df.withColumn("_block", block_of(id_col, width))
+    values = values.withColumns({f"_v_{name}": value.cast("bigint") for name, (_, value) in totals.items()})
     by_group: dict[tuple[str, ...], list[str]] = {}
     for name, (group, _) in totals.items():
         by_group.setdefault(tuple(group), []).append(name)
 
     parts = []
     for group, names in by_group.items():
-        blocks = out.groupBy("_block", *group).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in names])
+        # from the unshuffled rows, so that totals are combined before anything moves
+        blocks = values.groupBy("_block", *group).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in names])
         order = Window.partitionBy(*group).orderBy("_block")
         whole_group = Window.partitionBy(*group)
         earlier = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -49,6 +50,7 @@ def running_totals(
             *[F.sum(f"_s_{n}").over(whole_group).alias(f"{n}_total") for n in names],
         )))
 
+    out = values.repartition("_block")
     for group, names in by_group.items():
         earlier = (
             Window.partitionBy("_block", *group).orderBy(id_col)

@@ -68,34 +68,40 @@ def speaker_slots(requests: DataFrame, index: DataFrame, p: TrackParams) -> Data
 
 
 def _draws(slots: DataFrame, p: TrackParams) -> DataFrame:
-    """Positions each slot draws: ``(track_id, spk, …, pool_rank, kind, position)`` without the seed."""
+    """Positions of each slot's pool: the seed's own at rank 0, then the drawn ones.
+
+    Positions count within the speaker (within the dataset for a seed without speaker), among all utterances or
+    among the short ones.
+    """
     anyone = F.col("speaker_id").isNull()
     n_all = F.when(anyone, F.col("utt_no_total")).otherwise(F.col("s_rank_total"))
     n_short = F.when(anyone, F.col("all_short_rank_total")).otherwise(F.col("short_rank_total"))
     own_all = F.when(anyone, F.col("utt_no")).otherwise(F.col("s_rank"))
     own_short = F.when(anyone, F.col("all_short_rank")).otherwise(F.col("short_rank"))
     short_left = n_short - F.col("is_short").cast("int")
-    out = slots.withColumn("kind", F.when(F.col("use_short") & (short_left > 0), _SHORT).otherwise(_ALL))
-    short = F.col("kind") == _SHORT
+    out = slots.withColumn("_kind", F.when(F.col("use_short") & (short_left > 0), _SHORT).otherwise(_ALL))
+    short = F.col("_kind") == _SHORT
     out = out.withColumns({
         "_n": F.when(short, short_left).otherwise(n_all - 1),
         "_own": F.when(~short, own_all).when(F.col("is_short"), own_short),
+        "_seed": own_all,
     })
     out = out.withColumn("_k", F.least(F.lit(p.target_count).cast("bigint"), F.col("_n")))
     picked = rng.bind(
         rng.digests(p.seed, "pool", p.target_count, "track_id", "spk"),
         lambda many: rng.distinct_below(F.col("_n"), F.col("_k"), lambda i: rng.nth(many, i)),
     )
-    out = out.select(
-        "track_id", "spk", "speaker_id", "kind", "_own",
-        F.posexplode(picked).alias("_i", "_drawn"),
-    )
-    skip_seed = F.when(F.col("_drawn") >= F.col("_own"), 1).otherwise(0)
-    return out.select(
-        "track_id", "spk", "speaker_id", "kind",
-        (F.col("_i") + 1).cast("bigint").alias("pool_rank"),
-        (F.col("_drawn") + skip_seed).alias("position"),
+
+    def place(rank: Column, kind: Column, position: Column) -> Column:
+        return F.struct(
+            rank.cast("bigint").alias("pool_rank"), kind.cast("int").alias("kind"), position.cast("bigint").alias("position")
+        )
+
+    others = F.transform(
+        picked, lambda x, i: place(i + 1, F.col("_kind"), x + F.when(x >= F.col("_own"), 1).otherwise(0))
     )
+    seed = F.array(place(F.lit(0), F.lit(_ALL), F.col("_seed")))
+    return out.select("track_id", "spk", "speaker_id", F.inline(F.concat(seed, others)))
 
 
 def _members(index: DataFrame, by_all: str, by_short: str, *keys: str) -> DataFrame:
@@ -114,13 +120,11 @@ def build_pools(slots: DataFrame, index: DataFrame, p: TrackParams) -> DataFrame
     ``target_count`` other utterances of its speaker (short ones only, if wanted and there are any).
     """
     columns = ["track_id", "spk", "pool_rank", "utt_id", "n_samples"]
-    seeds = slots.withColumn("pool_rank", F.lit(0).cast("bigint")).select(*columns)
     draws = _draws(slots, p)
-    same_speaker = draws.where(F.col("speaker_id").isNotNull()).join(
+    pools = draws.where(F.col("speaker_id").isNotNull()).join(
         _members(index.where(F.col("speaker_id").isNotNull()), "s_rank", "short_rank", "speaker_id"),
         ["speaker_id", "kind", "position"],
-    )
-    pools = seeds.unionByName(same_speaker.select(*columns))
+    ).select(*columns)
     if p.null_speaker == "any":
         anyone = draws.where(F.col("speaker_id").isNull()).join(
             _members(index, "utt_no", "all_short_rank"), ["kind", "position"]

@@ -195,7 +195,7 @@ def build_waveforms(turns: DataFrame, audio: DataFrame, p: TrackParams, noise: b
 
 def noise_clips(df: DataFrame, kind: Column, key: Column, n: Column, sampling_rate: int) -> DataFrame:
     """Add ``noise`` (``array<double>``, unit peak): ``n`` samples of a kind from a 32-bit key."""
-    wide = df.withColumns({"_kind": kind, "_key": key, "_n": n})
+    wide = by_track(df.withColumns({"_kind": kind, "_key": key, "_n": n}), "_key")
     names = list(df.columns)
 
     def clips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

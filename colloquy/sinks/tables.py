@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.numbering import running_totals
 from ..operators.rows import TRACK_COLUMNS
 from ..params import ROW_OVERHEAD_BYTES
+from ..session import by_track
 
 # Shard size, tracks per committed batch, compression.
 SHARD_MEGABYTES = 100
@@ -77,7 +78,7 @@ def write_tracks(
             measured = wav_bytes(F.coalesce(F.size("audio.array"), F.lit(0)).cast("bigint"))
             sizes = tracks.select("track_id", row_bytes(measured).alias("bytes"))
         shards = assign_shards(sizes, max_megabytes * 1024 * 1024)
-        shaped = shaped.join(shards.select("track_id", "shard"), "track_id").repartition("shard")
+        shaped = by_track(shaped.join(shards.select("track_id", "shard"), "track_id"), "shard")
     (
         shaped.sortWithinPartitions("shard", "track_id")
         .write.mode("overwrite").partitionBy("shard")
