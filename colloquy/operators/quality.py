@@ -11,6 +11,12 @@ from .labels import has_segment
 from .specs import with_spec
 
 
+# Wording of the three warnings.
+SHORT_SPEAKER = "Speaker %d has duration %ss < {minimum}s"
+IMBALANCE = "Speaker imbalance: max ratio %s > {maximum}"
+MISSING_SPEAKERS = "Only %d speakers found, expected %d"
+
+
 def difficulty(
     n_speakers: Column, has_overlaps: Column, has_simultaneous: Column, has_noise: Column, mean_seconds: Column
 ) -> Column:
@@ -43,7 +49,7 @@ def short_speaker_warnings(total_centis: Column, speaker_id: Column, minimum: fl
     """Warning text for a speaker below the minimum, else null."""
     return F.when(
         total_centis < F.lit(minimum * 100),
-        F.format_string(f"Speaker %d has duration %ss < {minimum}s", speaker_id, two_decimals(total_centis)),
+        F.format_string(SHORT_SPEAKER.format(minimum=minimum), speaker_id, two_decimals(total_centis)),
     )
 
 
@@ -75,11 +81,11 @@ def validate(
     per_track = per_track.withColumn("max_share", share)
     uneven = F.when(
         F.col("max_share") > F.lit(max_share),
-        F.format_string(f"Speaker imbalance: max ratio %s > {max_share}", two_decimals(hundredths)),
+        F.format_string(IMBALANCE.format(maximum=max_share), two_decimals(hundredths)),
     )
     missing = F.when(
         F.col("n_found") < F.col("expected_speakers"),
-        F.format_string("Only %d speakers found, expected %d", F.col("n_found"), F.col("expected_speakers")),
+        F.format_string(MISSING_SPEAKERS, F.col("n_found"), F.col("expected_speakers")),
     )
     warnings = F.concat(F.col("_short.w"), F.array_compact(F.array(uneven, missing)))
     return per_track.withColumn("warnings", warnings).withColumn(

@@ -102,10 +102,21 @@ def count_back(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).agg(F.count("*").alias("n_rows"))
 
 
-def numbered_paths(tracks: DataFrame, width: int = 1_000_000) -> DataFrame:
-    """Add ``audio_path``: consecutive file names in track order, without gaps for failed tracks."""
-    placed = running_totals(tracks, "track_id", width, {"_no": ((), F.lit(1))})
-    return placed.withColumn("audio_path", F.format_string("audio/track-%05d.wav", F.col("_no"))).drop("_no", "_no_total")
+def _numbered(tracks: DataFrame, ids: DataFrame | None, width: int) -> DataFrame:
+    """Add ``_no``, the position in track order. Only ids are numbered; wide rows are joined to the result."""
+    numbers = running_totals(
+        (tracks if ids is None else ids).select("track_id"), "track_id", width, {"_no": ((), F.lit(1))}
+    ).drop("_no_total")
+    return numbers if tracks.columns == ["track_id"] else tracks.join(numbers, "track_id")
+
+
+def numbered_paths(tracks: DataFrame, ids: DataFrame | None = None, width: int = 1_000_000) -> DataFrame:
+    """Add ``audio_path``: consecutive file names in track order, without gaps for failed tracks.
+
+    Pass the planned ``ids`` where ``tracks`` is costly, or it is evaluated once more for its ids.
+    """
+    path = F.format_string("audio/track-%05d.wav", F.col("_no"))
+    return _numbered(tracks, ids, width).withColumn("audio_path", path).drop("_no")
 
 
 def write_json_lines(tracks: DataFrame, path: str) -> None:
@@ -114,10 +125,12 @@ def write_json_lines(tracks: DataFrame, path: str) -> None:
     dropped.write.mode("overwrite").option("ignoreNullFields", "true").json(path)
 
 
-def with_batch_no(tracks: DataFrame, size: int = BATCH_TRACKS, width: int = 1_000_000) -> DataFrame:
+def with_batch_no(
+    tracks: DataFrame, size: int = BATCH_TRACKS, ids: DataFrame | None = None, width: int = 1_000_000
+) -> DataFrame:
     """Add ``batch_no`` (from 1): consecutive tracks in batches of ``size``."""
-    placed = running_totals(tracks, "track_id", width, {"_no": ((), F.lit(1))})
-    return placed.withColumn("batch_no", F.floor(F.col("_no") / size).cast("bigint") + 1).drop("_no", "_no_total")
+    batch = F.floor(F.col("_no") / size).cast("bigint") + 1
+    return _numbered(tracks, ids, width).withColumn("batch_no", batch).drop("_no")
 
 
 def committed_only(metadata: DataFrame, commits: DataFrame) -> DataFrame:
