@@ -3,6 +3,9 @@
 Rows are cut into id blocks of fixed width. Ids are unique, so a block holds at most ``width`` rows
 however skewed any other key is. Positions inside a block come from a window over the block; the start of
 each block comes from running sums over the small table of block totals.
+
+Made for row numbers and the like: with ids scattered over a wide range choose a wider block, or the table of
+block totals grows towards the size of the data.
 """
 
 from __future__ import annotations

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import wave
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,10 @@ def write_wav_files(tracks: DataFrame, folder: str, sampling_rate: int) -> DataF
     ``folder`` must be shared storage every executor mounts. Files appear under their final name
     only when complete, and a retried task writes the same bytes again. Empty audio is refused.
     """
+    place = urlparse(folder)
+    if place.scheme not in ("", "file"):
+        raise ValueError(f"{folder} is not a mounted folder")
+    folder = place.path
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
