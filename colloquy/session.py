@@ -23,19 +23,19 @@ def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL options the plans are designed for."""
     for key, value in _SQL_CONF.items():
         spark.conf.set(key, value)
-    _ship(spark)
+    ship(spark)
     return spark
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Send this package to the executors once, so that tasks can import it from any working folder."""
     application = spark.sparkContext.applicationId
-    if getattr(_ship, "_done", None) != application:
+    if getattr(ship, "_done", None) != application:
         package = os.path.dirname(os.path.abspath(__file__))
         base = os.path.join(tempfile.mkdtemp(prefix="colloquy-"), "colloquy")
         archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
         spark.sparkContext.addPyFile(archive)
-        _ship._done = application
+        ship._done = application
 
 
 def shared_folder(spark: SparkSession) -> str:
