@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, mixing, quality, sharding, simhash, urls
+from colloquy.llm import decontaminate, html_extract, licenses, mixing, quality, secrets_crf, sharding, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document."""
+    return secrets_crf.report(_table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contaminated documents with the benchmark items they contain."""
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -40,6 +45,21 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document."""
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels of each document."""
+    return licenses.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of each document."""
     return sharding.report(_table(spark, sf_dir, "documents"))
@@ -54,7 +74,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_decontaminate, op3_mix, op4_simhash, op5_quality, op6_urls, op10_shards, pipeline,
+        op1_secrets, op2_decontaminate, op3_mix, op4_simhash, op5_quality, op6_urls, op7_toxicity, op8_html, op9_licenses, op10_shards,
+        pipeline,
     )}
 
 
