@@ -48,8 +48,7 @@ def measured(docs: DataFrame, seed: int = SEED) -> DataFrame:
 def budgets(totals: DataFrame, weights: Sequence[int], ratio: float, most: int) -> DataFrame:
     """Targets of (source, source_size); one row per source, so that its windows hold the list of sources only.
 
-    With sources in order of cap / weight, those before the point where the common level fits under the cap are
-    capped; the rest share what is left by weight.
+    In order of cap / weight, some first sources are capped and the rest share what is left by weight, at one level.
     """
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     listed = totals.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(place, F.lit(len(weights))) + 1))
@@ -60,9 +59,9 @@ def budgets(totals: DataFrame, weights: Sequence[int], ratio: float, most: int)
     everything = Window.partitionBy()
     total = F.sum("source_size").over(everything) * F.lit(ratio)
     listed = listed.withColumn("level", (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(onward))
-    listed = listed.withColumn("fits", F.when(F.col("level") <= F.col("full_at"), F.struct(F.row_number().over(order), "level")))
-    listed = listed.withColumn("at", F.min("fits").over(everything)["level"])
-    target = F.when(F.col("at").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("at") * F.col("weight")))
+    # any guess which sources are capped gives a level that is at most the right one
+    listed = listed.withColumn("at", F.max("level").over(everything))
+    target = F.least("cap", F.col("at") * F.col("weight"))
     listed = listed.withColumn("target", target).withColumn("budget", F.floor(F.col("target") + 0.5).cast("bigint"))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(0).cast("bigint")
     return listed.withColumn("epochs", epochs).select(

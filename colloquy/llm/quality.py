@@ -98,6 +98,8 @@ def signals(docs: DataFrame) -> DataFrame:
         (F.col("n_capitals") / F.greatest(F.col("word_chars"), F.lit(1))).alias("capitals_per_letter"),
         (F.col("word_chars") / n).alias("word_length"),
         (-F.col("word_chars") / n).alias("word_shortness"),
+        # a filter on the signals must stay above them: pushed below, it would compute whole arrays anew for each element
+        F.monotonically_increasing_id().alias("barrier"),
     )
 
 
@@ -167,7 +169,7 @@ def verdicts(measured: DataFrame, cuts: DataFrame, strata: Sequence[str]) -> Dat
 
 
 def _measured(docs: DataFrame) -> DataFrame:
-    narrow = signals(docs.select("doc_id", "text", "lang")).drop("row")
+    narrow = signals(docs.select("doc_id", "text", "lang")).drop("row", "barrier")
     return stage(narrow, work_path(docs.sparkSession, "quality-signals"))
 
 
@@ -185,5 +187,5 @@ def passing(docs: DataFrame, labels: DataFrame, strata: Sequence[str] = STRATA,
     text is shuffled.
     """
     cuts = stage(certified(_measured(docs), labels, strata, risk, delta), work_path(docs.sparkSession, "quality-cutoffs"))
-    rows = verdicts(signals(docs), cuts, strata).where("kept").select("row")
+    rows = verdicts(signals(docs), cuts, strata).where("kept and barrier >= 0").select("row")
     return rows.select(*unpacked(rows))
