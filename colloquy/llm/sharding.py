@@ -54,12 +54,12 @@ def permuted_within(number: Column, n: int, seed: int = SEED, rounds: int = ROUN
     return F.when(once < n, once).otherwise(inside)
 
 
-def numbered(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, int]:
-    """The rows, packed, with ``number``, their place in hash order, and the number of rows."""
+def numbered(docs: DataFrame, carried: Column, seed: int = SEED) -> tuple[DataFrame, int]:
+    """What is carried of each row, with ``number``, its place in hash order, and the number of rows."""
     require(docs, "doc_id", "text")
     n = docs.count()
     bits = min(max((n // BUCKET_ROWS).bit_length(), BUCKET_BITS[0]), BUCKET_BITS[1])
-    hashed = docs.select(packed(docs), "doc_id", hash63(F.lit(seed), F.col("doc_id"), F.col("text")).alias("key"))
+    hashed = docs.select(carried.alias("row"), "doc_id", hash63(F.lit(seed), F.col("doc_id"), F.col("text")).alias("key"))
     hashed = hashed.withColumn("bucket", F.shiftright("key", 63 - bits))
     totals = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,9 +70,8 @@ def numbered(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, int]:
     return rows.select("row", (F.col("start") + F.col("within") - 1).alias("number")), n
 
 
-def assign(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """All rows and columns with ``shard`` (int) and ``slot`` (bigint)."""
-    rows, n = numbered(docs, seed)
+def _placed(docs: DataFrame, carried: Column, n_shards: int, seed: int) -> DataFrame:
+    rows, n = numbered(docs, carried, seed)
     place = rows.withColumn("place", permuted_within(F.col("number"), max(n, 1), seed))
     return place.select(
         *unpacked(place, ("shard", "slot")),
@@ -81,13 +80,18 @@ def assign(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFra
     )
 
 
+def assign(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """All rows and columns with ``shard`` (int) and ``slot`` (bigint)."""
+    return _placed(docs, packed(docs), n_shards, seed)
+
+
 def report(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """One row per document: id, size, checksum and place."""
-    require(docs, "doc_id", "text")
-    placed = assign(docs.select("doc_id", "text"), n_shards, seed)
+    """One row per document: id, size, checksum and place. Texts are hashed where they are read and not moved."""
     whole = F.coalesce(F.col("text"), F.lit(""))
-    return placed.select(
+    carried = F.struct(
         "doc_id", (F.octet_length(whole).cast("bigint") + 16).alias("size"),
         F.crc32(whole.cast("binary")).cast("bigint").alias("text_crc32"),
-        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+    return _placed(docs, carried, n_shards, seed).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
