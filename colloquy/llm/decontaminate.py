@@ -7,8 +7,8 @@ whole. Windows are joined by hash: a document's windows are made where it is rea
 ones; Spark broadcasts those if they are below its threshold and shuffles both sides otherwise.
 
 Each match votes for an alignment (document, item, shift). The alignments of a document and an item together must
-cover ``COVERAGE`` of the item's tokens. They are then read again from the text: at each alignment the item's placeholders
-stand opposite values of the document. Consistency: one value of the item must always meet the same value, and
+cover ``COVERAGE`` of the item's tokens. They are then read again from the text: at an alignment the item's placeholders
+stand opposite values of the document. One alignment, or all together, must cover enough and be consistent. Consistency: one value of the item must always meet the same value, and
 different values different ones. ``CONSISTENT`` of the placeholders must agree with the most frequent mapping. So a
 question with other numbers and names is found, while text that merely shares a pattern is not.
 
@@ -131,7 +131,7 @@ def candidates(docs: DataFrame, items: DataFrame, windows: DataFrame) -> DataFra
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, th, item_id, covered, item_tokens, slots, agreeing) of the pairs that pass both tests, stored."""
+    """(doc_id, th, item_id, covered, item_tokens, slots, agreeing) of the pairs that pass both tests."""
     require(docs, "doc_id", "text")
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -152,8 +152,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return F.array_compact(F.transform("canonical", pair))
 
-    slots = F.flatten(F.transform("shifts", opposite))
-    joined = joined.select("doc_id", "th", "item_id", "covered", "item_tokens", slots.alias("filled"))
+    def alike(shift: Column) -> Column:
+        return F.aggregate(
+            F.transform("canonical", lambda token, i: F.coalesce((F.get("doc_canonical", i + shift) == token).cast("int"), F.lit(0))),
+            F.lit(0), lambda n, same: n + same,
+        )
+
+    # each alignment by itself, and all together: a text may follow the item with gaps
+    alone = F.transform("shifts", lambda shift: F.struct(alike(shift).alias("covered"), opposite(shift).alias("filled")))
+    together = F.struct(F.col("covered").alias("covered"), F.flatten(F.transform("shifts", opposite)).alias("filled"))
+    joined = joined.select("doc_id", "th", "item_id", "item_tokens", F.explode(F.concat(alone, F.array(together))).alias("way"))
+    joined = joined.select("doc_id", "th", "item_id", "way.covered", "item_tokens", "way.filled")
     counted = F.transform(F.array_distinct("filled"), lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), F.size(F.filter("filled", lambda q: q == p)).alias("n")))
     joined = joined.select("doc_id", "th", "item_id", "covered", "item_tokens", F.size("filled").alias("slots"), counted.alias("seen"))
 
@@ -161,13 +170,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         """No other pair with one of its values is more frequent."""
         return ~F.exists("seen", lambda q: ((q["a"] == p["a"]) | (q["b"] == p["b"])) & (q["n"] > p["n"]))
 
-    def alone(p: Column) -> Column:
+    def first(p: Column) -> Column:
         """Of equally frequent rivals, the first in order counts."""
         return ~F.exists("seen", lambda q: ((q["a"] == p["a"]) | (q["b"] == p["b"])) & (q["n"] == p["n"]) & (F.concat_ws("\x1f", q["a"], q["b"]) < F.concat_ws("\x1f", p["a"], p["b"])))
 
-    agreeing = F.aggregate(F.filter("seen", lambda p: usual(p) & alone(p)), F.lit(0), lambda n, p: n + p["n"])
+    agreeing = F.aggregate(F.filter("seen", lambda p: usual(p) & first(p)), F.lit(0), lambda n, p: n + p["n"])
     judged = joined.select("doc_id", "th", "item_id", "covered", "item_tokens", "slots", agreeing.alias("agreeing"))
-    return stage(judged.where(F.col("agreeing") >= CONSISTENT * F.col("slots")), work_path(spark, "bench-contaminated"))
+    judged = stage(judged, work_path(spark, "bench-judged"))
+    passed = judged.where((F.col("covered") >= COVERAGE * F.col("item_tokens")) & (F.col("agreeing") >= CONSISTENT * F.col("slots")))
+    best = passed.groupBy("doc_id", "th", "item_id").agg(F.max(F.struct("covered", "agreeing", "slots", "item_tokens")).alias("best"))
+    return best.select("doc_id", "th", "item_id", "best.*")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -40,7 +40,8 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 RUN = re.compile(r"[A-Za-z0-9+/_=.-]{8,}")
-ANNOUNCED = re.compile(r"(?ai)(?:pass|pwd|secret|token|key|auth|credential|bearer)[\w-]*[\"']?\s?[:=]")
+ANNOUNCED_HERE = r"(?i)(?:pass|pwd|secret|token|key|auth|credential|bearer)[\w-]*[\"']?\s?[:=]"
+ANNOUNCED = re.compile(ANNOUNCED_HERE, re.A)
 DIGIT = re.compile(r"[0-9]")
 TOKEN = re.compile(r"[\w+/.-]+={0,2}(?![\w+/.-])|[\w+/.-]+|\S")
 BEFORE, AFTER = 48, 24
@@ -134,29 +135,35 @@ def _shape(token: str) -> list[str]:
     turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
     counts = Counter(token)
     bits = -sum(k / n * math.log2(k / n) for k in counts.values())
-    return [
-        "kinds=" + "".join(sorted(kinds)), f"length={next((b for b in (2, 5, 8, 12, 16, 20, 24, 32, 48) if n <= b), 99)}",
-        f"bits={int(bits * 2)}", f"turns={min(turns, 6)}", f"digits={int(4 * kinds['d'] / n)}",
-        f"hex={all(c in '0123456789abcdef' for c in token) and n > 5}",
-        f"dots={min(token.count('.'), 4)}", f"dashes={min(token.count('-'), 4)}",
-        f"first={token[:4] if token[:4].isupper() and token[:4].isalpha() else token[0] if not token[0].isalnum() else ''}",
-    ]
+    row = ["kinds=" + "".join(sorted(kinds))]
+    # one feature for each bound that is passed, so that lengths between those of the sample are judged, too
+    row += [f"length>{b}" for b in (4, 8, 12, 16, 20, 24, 32, 48) if n > b]
+    row += [f"bits>{b}" for b in (2, 3, 3.5, 4, 4.5, 5) if bits > b]
+    row += [f"turns>{b}" for b in (1, 3, 5, 8) if turns > b]
+    row += [f"digits={int(4 * kinds['d'] / n)}"] if kinds["d"] else []
+    row += ["hex"] if n > 5 and all(c in "0123456789abcdef" for c in token) else []
+    row += [f"{name}={min(token.count(c), 4)}" for name, c in (("dots", "."), ("dashes", "-"), ("slashes", "/")) if c in token]
+    head = token[:4] if token[:4].isupper() and token[:4].isalpha() else token[0] if not token[0].isalnum() else ""
+    return row + ([f"first={head}"] if head else [])
 
 
 def features(tokens: Sequence[str], file: Sequence[str]) -> list[list[str]]:
-    """Shape, neighbours and file features of each token."""
+    """Shape, neighbours and file features of each token; what holds for plain words has no feature."""
     shapes = [_shape(t) for t in tokens]
     lower = [t.lower() for t in tokens]
     cue = [any(c in w for c in CUES) and len(w) < 20 for w in lower]
+    odd = [len(t) == 1 and not t.isalnum() for t in tokens]
     rows = []
     for i, shape in enumerate(shapes):
-        near = [j for j in range(max(0, i - 5), i) if cue[j]]
-        mark = [tokens[j] for j in range(max(0, i - 3), i) if tokens[j] in "=:"]
-        row = ["bias", *shape, f"cue={bool(near)}", f"mark={''.join(mark[-1:])}", f"cue+mark={bool(near) and bool(mark)}"]
-        row += [f"before={tokens[i - 1] if i and not tokens[i - 1].isalnum() and len(tokens[i - 1]) == 1 else ''}"]
-        row += [f"after={tokens[i + 1] if i + 1 < len(tokens) and not tokens[i + 1].isalnum() and len(tokens[i + 1]) == 1 else ''}"]
-        row += [f"before:{shapes[i - 1][0] if i else 'none'}", f"after:{shapes[i + 1][0] if i + 1 < len(tokens) else 'none'}"]
-        rows.append([*row, shape[0] + shape[1], shape[1] + shape[3], *file])
+        row = ["bias", *shape]
+        near = any(cue[max(0, i - 5) : i])
+        mark = [t for t in tokens[max(0, i - 3) : i] if t in "=:"]
+        row += ["cue"] * near + [f"mark={m}" for m in mark[-1:]] + ["cue+mark"] * bool(near and mark)
+        row += [f"before={tokens[i - 1]}"] if i and odd[i - 1] else []
+        row += [f"after={tokens[i + 1]}"] if i + 1 < len(tokens) and odd[i + 1] else []
+        if len(tokens[i]) >= 8 and len(shape[0]) > len("kinds=l"):
+            row += [f"cue+{x}" for x in shape[:1] if near] + [f"{shape[0]}&{f}" for f in file]
+        rows.append(row)
     return rows
 
 
@@ -278,6 +285,8 @@ def fit(found: DataFrame) -> Field | None:
     """Learn from a bounded sample of the stretches; None without base spans."""
     every = found.select("file", F.explode("stretches").alias("s")).select("file", "s.text", "s.values")
     every = every.where(F.length("text") <= MAX_TOKENS * 8).withColumn("h", F.xxhash64("text")).withColumn("secret", F.size("values") > 0)
+    # announced like a secret, but of no listed kind: neither an example nor a counter-example
+    every = every.where(F.col("secret") | ~F.col("text").rlike(ANNOUNCED_HERE))
     once = every.groupBy("h", "secret").agg(F.min(F.struct("text", "values", "file")).alias("s"))
     once = stage(once.select("h", "secret", "s.*"), work_path(found.sparkSession, "secret-sample"))
     sample = []

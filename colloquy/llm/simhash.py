@@ -185,18 +185,15 @@ def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
         if depth == 64:
             found.append(members)
             break
-        sizes = members.groupBy("trie", "node").agg(
-            F.count(F.lit(1)).alias("size"), F.bool_or("home").alias("own"), F.count_if("home").alias("homes"),
-        )
-        large = stage(
-            sizes.where((F.col("size") > 4 * group) & F.col("own")).select("trie", "node", F.lit(True).alias("large")),
-            work_path(spark, "simhash-large"),
-        )
-        if large.isEmpty():
+        sizes = members.groupBy("trie", "node").agg(F.count(F.lit(1)).alias("size"), F.bool_or("home").alias("own"))
+        sizes = sizes.where("own and size > 1").select("trie", "node", (F.col("size") > 4 * group).alias("large"))
+        sizes = stage(sizes, work_path(spark, "simhash-sizes"))
+        if sizes.where("large").isEmpty():
             found.append(members)
             break
-        marked = stage(members.join(large, ["trie", "node"], "left"), work_path(spark, "simhash-marked"))
-        found.append(marked.where("large is null").drop("large"))
+        # nodes without a fingerprint of their own end here
+        marked = stage(members.join(sizes, ["trie", "node"]), work_path(spark, "simhash-marked"))
+        found.append(marked.where("not large").drop("large"))
         members = marked.where("large").drop("large")
         width = min(STEP_BITS, (32 if depth < 32 else 64) - depth)
     edges = None

