@@ -25,6 +25,10 @@ def lane(digest: str, index: str | int = 0) -> str:
     return f"(('0x' || substr({digest}, 1 + 8 * ({index}), 8))::BIGINT / 4294967296e0)"
 
 
+def wide(purpose: str, *keys: str, at: str | int = 0) -> str:
+    return f"(('0x' || substr({md5(purpose, *keys)}, 1 + 13 * ({at}), 13))::BIGINT / 4503599627370496e0)"
+
+
 def u(purpose: str, *keys: str, at: str | int = 0) -> str:
     return lane(md5(purpose, *keys), at)
 
@@ -141,7 +145,7 @@ seed_steps AS (
   UNION ALL
   SELECT track_id, n_spk, n, i + 1,
     list_append(got, CASE WHEN list_contains(got, t) THEN n - n_spk + i ELSE t END)
-  FROM (SELECT *, {floor(u('seed', 'track_id', 'i') + ' * (n - n_spk + i + 1)')} AS t
+  FROM (SELECT *, {floor(wide('seed', 'track_id', 'i') + ' * (n - n_spk + i + 1)')} AS t
         FROM seed_steps WHERE i < n_spk)),
 slots AS MATERIALIZED (
   SELECT s.track_id, row_number() OVER (PARTITION BY s.track_id ORDER BY {md5('slot', 's.track_id', 's.utt_no')}) - 1 AS spk,
@@ -170,7 +174,7 @@ pool_steps AS (
   UNION ALL
   SELECT track_id, spk, speaker_id, kind, n, own, k, i + 1,
     list_append(got, CASE WHEN list_contains(got, t) THEN n - k + i ELSE t END)
-  FROM (SELECT *, {floor(u('pool', 'track_id', 'spk', 'i // 4', at='i % 4') + ' * (n - k + i + 1)')} AS t
+  FROM (SELECT *, {floor(wide('pool', 'track_id', 'spk', 'i // 2', at='i % 2') + ' * (n - k + i + 1)')} AS t
         FROM pool_steps WHERE i < k)),
 picked AS (
   SELECT track_id, spk, speaker_id, kind, pool_rank, got[pool_rank] + (CASE WHEN got[pool_rank] >= own THEN 1 ELSE 0 END) AS pos
@@ -578,13 +582,15 @@ def _hash32(x: str, alias: str) -> str:
 
 
 def _uniform(source: str, stream: int, alias: str) -> str:
-    counter = f"((i::HUGEINT * {0x9E3779B9} + key + {stream * 0x85EBCA6B}) % 4294967296)::BIGINT"
-    inner = f"(SELECT *, {counter} AS x0 FROM ({source}))"
-    return f"SELECT * EXCLUDE (x0, hh), hh AS {alias}_h, (hh + 0.5e0) / 4294967296e0 AS {alias} FROM ({_hash32('x0', 'hh')}{inner})))"
+    """Two rounds of hashing; the parts of the key enter by exclusive or, one before each round."""
+    counter = f"((i::HUGEINT * {0x9E3779B9} + {stream * 0x85EBCA6B}) % 4294967296)::BIGINT"
+    first = f"(SELECT *, xor({counter}, key >> 32) AS x0 FROM ({source}))"
+    second = f"(SELECT * EXCLUDE (ha), xor(ha, key & 4294967295) AS x1 FROM ({_hash32('x0', 'ha')}{first}))))"
+    return f"SELECT * EXCLUDE (x0, x1, hh), hh AS {alias}_h, (hh + 0.5e0) / 4294967296e0 AS {alias} FROM ({_hash32('x1', 'hh')}{second})))"
 
 
 _CLIPS = f"""SELECT conv_id, turn, n, key, unnest(range(n)) AS i FROM (
-  SELECT conv_id, turn, length(text) AS n, ('0x' || substr({md5('clip', 'conv_id', 'turn')}, 1, 8))::BIGINT AS key FROM conversations)"""
+  SELECT conv_id, turn, length(text) AS n, ('0x' || substr({md5('clip', 'conv_id', 'turn')}, 1, 15))::BIGINT AS key FROM conversations)"""
 
 
 def _gauss(radius: int, angle: int, alias: str, source: str) -> str:

@@ -24,10 +24,7 @@ _RADIUS, _ANGLE, _WHERE, _SIGN, _HEIGHT, _PITCH, _PINK_RADIUS, _PINK_ANGLE = ran
 _FEEDBACK_LENGTH = 96
 
 
-def hash_counter(key: int, stream: int, n: int) -> np.ndarray:
-    """32-bit hashes of the counters 0 .. n-1; distinct within a stream."""
-    start = np.uint32((key + stream * 0x85EBCA6B) & 0xFFFFFFFF)
-    x = np.arange(n, dtype=np.uint32) * np.uint32(0x9E3779B9) + start
+def _mixed(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint32(16)
     x *= np.uint32(0x7FEB352D)
     x ^= x >> np.uint32(15)
@@ -36,6 +33,17 @@ def hash_counter(key: int, stream: int, n: int) -> np.ndarray:
     return x
 
 
+def hash_counter(key: int, stream: int, n: int) -> np.ndarray:
+    """32-bit hashes of the counters 0 .. n-1; distinct within a stream.
+
+    The two halves of the 60-bit key enter by exclusive or before each of two rounds, so that no clip is a shifted
+    part of another.
+    """
+    x = np.arange(n, dtype=np.uint32) * np.uint32(0x9E3779B9) + np.uint32((stream * 0x85EBCA6B) & 0xFFFFFFFF)
+    x = _mixed(x ^ np.uint32(key >> 32))
+    return _mixed(x ^ np.uint32(key & 0xFFFFFFFF))
+
+
 def uniforms(key: int, stream: int, n: int) -> np.ndarray:
     """Uniform numbers strictly between 0 and 1."""
     return (hash_counter(key, stream, n) + 0.5) / 4294967296.0

@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LANES = 4
+WIDE_LANES = 2
+_WIDE_SCALE = 4503599627370496.0
 _SCALE = 4294967296.0
 
 
@@ -37,6 +39,29 @@ def uniform01(seed: int, purpose: str, *keys: Column | str) -> Column:
     return lane(digest(seed, purpose, *keys))
 
 
+def wide_lane(digest_col: Column, index: int | Column = 0) -> Column:
+    """The ``index``-th of ``WIDE_LANES`` uniform numbers with 52 bits: fine enough to draw from any table's rows."""
+    at = F.lit(index) if isinstance(index, int) else index
+    part = F.substr(digest_col, at * 13 + 1, F.lit(13))
+    return F.conv(part, 16, 10).cast("bigint") / F.lit(_WIDE_SCALE)
+
+
+def wide01(seed: int, purpose: str, *keys: Column | str) -> Column:
+    """One uniform number in [0, 1) with 52 bits."""
+    return wide_lane(digest(seed, purpose, *keys))
+
+
+def wide_digests(seed: int, purpose: str, count: int, *keys: Column | str) -> Column:
+    """Enough digests for ``count`` wide draws per row, as an array; read it with ``wide_nth``."""
+    blocks = F.sequence(F.lit(0), F.lit((count - 1) // WIDE_LANES))
+    return F.transform(blocks, lambda b: digest(seed, purpose, *keys, b))
+
+
+def wide_nth(many: Column, i: Column) -> Column:
+    """Wide draw number ``i`` of an array of digests."""
+    return wide_lane(F.element_at(many, (F.floor(i / WIDE_LANES) + 1).cast("int")), (i % WIDE_LANES).cast("int"))
+
+
 def digests(seed: int, purpose: str, count: int, *keys: Column | str) -> Column:
     """Enough digests for ``count`` draws per row, as an array; read it with ``nth``."""
     blocks = F.sequence(F.lit(0), F.lit((count - 1) // LANES))

@@ -45,7 +45,7 @@ def sample_utterances(df: DataFrame, index: DataFrame, n: Column, p: TrackParams
     available = index.agg(F.count("*")).scalar()
     counted = df.withColumn("_available", available).where(n <= F.col("_available"))
     picked = rng.distinct_below(
-        F.col("_available"), n, lambda i: rng.uniform01(p.seed, "seed", "track_id", i)
+        F.col("_available"), n, lambda i: rng.wide01(p.seed, "seed", "track_id", i)
     )
     keyed = F.transform(
         picked, lambda x: F.struct(rng.digest(p.seed, "slot", "track_id", x).alias("k"), x.alias("utt_no"))
@@ -88,8 +88,8 @@ def _draws(slots: DataFrame, p: TrackParams) -> DataFrame:
     })
     out = out.withColumn("_k", F.least(F.lit(p.target_count).cast("bigint"), F.col("_n")))
     picked = rng.bind(
-        rng.digests(p.seed, "pool", p.target_count, "track_id", "spk"),
-        lambda many: rng.distinct_below(F.col("_n"), F.col("_k"), lambda i: rng.nth(many, i)),
+        rng.wide_digests(p.seed, "pool", p.target_count, "track_id", "spk"),
+        lambda many: rng.distinct_below(F.col("_n"), F.col("_k"), lambda i: rng.wide_nth(many, i)),
     )
 
     def place(rank: Column, kind: Column, position: Column) -> Column:

@@ -156,7 +156,7 @@ def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFr
         *keys, "total_samples", "position", "gain", "half_tail", "block", "chunk",
         *(["row"] if row_type else []),
         (F.col("noise_type") if noise else F.lit(None).cast("string")).alias("noise_type"), "snr_db",
-        F.conv(F.substring(rng.digest(p.seed, "noise", "track_id"), 1, 8), 16, 10).cast("bigint").alias("noise_key"),
+        F.conv(F.substring(rng.digest(p.seed, "noise", "track_id"), 1, 15), 16, 10).cast("bigint").alias("noise_key"),
     ), keys[0])
 
     def one_track(table: pa.Table) -> pa.Table:
@@ -194,7 +194,7 @@ def build_waveforms(turns: DataFrame, audio: DataFrame, p: TrackParams, noise: b
 
 
 def noise_clips(df: DataFrame, kind: Column, key: Column, n: Column, sampling_rate: int) -> DataFrame:
-    """Add ``noise`` (``array<double>``, unit peak): ``n`` samples of a kind from a 32-bit key."""
+    """Add ``noise`` (``array<double>``, unit peak): ``n`` samples of a kind from a 60-bit key."""
     wide = by_track(df.withColumns({"_kind": kind, "_key": key, "_n": n}), "_key")
     names = list(df.columns)
 

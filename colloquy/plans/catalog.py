@@ -570,7 +570,7 @@ def _noise(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
         "conv_id", "turn", F.length("text").cast("bigint").alias("n")
     )
-    key = F.conv(F.substring(rng.digest(DEFAULT.seed, "clip", "conv_id", "turn"), 1, 8), 16, 10).cast("bigint")
+    key = F.conv(F.substring(rng.digest(DEFAULT.seed, "clip", "conv_id", "turn"), 1, 15), 16, 10).cast("bigint")
     clips = waveforms.noise_clips(turns, F.lit(kind), key, F.col("n"), 16_000)
     return clips.select("conv_id", "turn", "n", audio.micro(F.col("noise")).alias("samples"))
 
