@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("colloquy-bench")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
-        .config("spark.sql.shuffle.partitions", cpus).getOrCreate()
+        .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="colloquy-bench-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.all_queries()

@@ -574,6 +574,18 @@ FROM (
   FROM turns GROUP BY 1) JOIN spec USING (track_id)"""))
 
 
+sql("generate_with_failures", with_(_NOISY, """
+SELECT track_id, coalesce(reason, 'good') AS status, CASE WHEN reason IS NULL THEN total END AS n_samples
+FROM (SELECT track_id, max(cum_after)::BIGINT AS total FROM turns GROUP BY 1) LEFT JOIN (
+  SELECT track_id, min(CASE WHEN utt_id % 89 <> 0 OR utt_id % 97 = 0 OR utt_id % 101 = 0 THEN 'audio missing' ELSE 'audio too short' END) AS reason
+  FROM (
+    SELECT track_id, utt_id, n_samples AS needed FROM turns WHERE spoken
+    UNION ALL SELECT track_id, utt_id, sim_samples FROM turns WHERE kind = 'simultaneous'
+    UNION ALL SELECT track_id, sim_utt_id, sim_samples FROM turns WHERE kind = 'simultaneous')
+  WHERE utt_id % 97 = 0 OR utt_id % 101 = 0 OR utt_id % 89 = 0 AND needed > 32
+  GROUP BY 1) USING (track_id)"""))
+
+
 def _hash32(x: str, alias: str) -> str:
     """Nested selects that hash column ``x`` (a 32-bit counter) step by step into ``alias``."""
     mult = "(({0})::HUGEINT * {1} % 4294967296)::BIGINT"

@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..functions import kernels, rng
 from ..params import TrackParams
 from ..session import by_track
+from ..sources.utterances import at_rate, audio_array
 from .labels import has_segment
 from .pools import slot_volume
 from .specs import with_spec
@@ -92,9 +93,36 @@ def pieces(turns: DataFrame, p: TrackParams) -> DataFrame:
     return t.select(*keys, "track_id", "total_samples", F.inline(F.array_compact(parts)))
 
 
+def wanted_audio(piece_rows: DataFrame, audio: DataFrame, p: TrackParams) -> DataFrame:
+    """The audio rows that some piece needs, at the wanted rate: everything else is left where it is read."""
+    ids = piece_rows.select("utt_id").distinct()
+    return at_rate(audio, p.sampling_rate).join(ids, "utt_id", "left_semi")
+
+
+def find_gaps(piece_rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(track_id, reason) of tracks with a piece whose audio is missing or shorter than the piece needs.
+
+    Known before any audio moves, so that such a track reaches neither the mixing nor the data. Stored lengths come from
+    a column ``n_samples`` of the audio table where it has one, else the samples are measured where they are read.
+    """
+    if "n_samples" in wanted.columns:
+        stored = F.when(F.col("audio").isNotNull(), F.col("n_samples"))
+    elif dict(wanted.dtypes)["audio"] == "binary":
+        stored = F.floor(F.octet_length("audio") / _BYTES)
+    else:
+        stored = F.size(audio_array(wanted))
+    lengths = wanted.select("utt_id", stored.cast("bigint").alias("stored")).groupBy("utt_id").agg(F.max("stored").alias("stored"))
+    needs = piece_rows.groupBy("track_id", "utt_id").agg(F.max(F.col("offset") + F.col("length")).alias("needed"))
+    reason = F.when(F.coalesce(F.col("stored"), F.lit(-1)) < 0, F.lit("audio missing")).otherwise(F.lit("audio too short"))
+    bad = needs.join(lengths, "utt_id", "left").where("stored is null or stored < needed")
+    return bad.groupBy("track_id").agg(F.min(reason).alias("reason"))
+
+
 def pack_audio(audio: DataFrame) -> DataFrame:
     """``(utt_id, audio)`` with the samples as little-endian 32-bit floats in one binary value.
 
+    Samples may be a bare array or a struct with an ``array`` field.
+
     Joins, shuffles and Python hand-over copy a binary value as a block; an array they touch sample by
     sample. A stored table in this form (bucketed by ``utt_id``) saves the step altogether.
     """
@@ -108,7 +136,7 @@ def pack_audio(audio: DataFrame) -> DataFrame:
                 [batch.column("utt_id"), pa.array(packed, pa.binary())], ["utt_id", "audio"]
             )
 
-    ready = audio.where(F.col("audio").isNotNull()).select("utt_id", F.col("audio").cast("array<float>").alias("audio"))
+    ready = audio.select("utt_id", audio_array(audio).alias("audio")).where(F.col("audio").isNotNull())
     return ready.mapInArrow(pack, "utt_id bigint, audio binary")
 
 
@@ -189,8 +217,11 @@ def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFr
 
 
 def build_waveforms(turns: DataFrame, audio: DataFrame, p: TrackParams, noise: bool = True) -> DataFrame:
-    """Turns to waveforms."""
-    return mix_down(cut_slices(pieces(turns, p), pack_audio(audio)), p, noise)
+    """Turns to waveforms, of the tracks that have all their audio."""
+    piece_rows = pieces(turns, p)
+    wanted = wanted_audio(piece_rows, audio, p)
+    whole = piece_rows.join(find_gaps(piece_rows, wanted), "track_id", "left_anti")
+    return mix_down(cut_slices(whole, pack_audio(wanted)), p, noise)
 
 
 def noise_clips(df: DataFrame, kind: Column, key: Column, n: Column, sampling_rate: int) -> DataFrame:

@@ -17,7 +17,7 @@ from ..sinks import tables, wav
 from ..sources import adapters
 from ..sources.utterances import at_rate, audio_array, usable
 from ..streaming import incremental
-from .tracks import Plan, generate, plan
+from .tracks import Plan, generate, plan, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -565,6 +565,20 @@ def dataset_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def generate_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with some audio null, cut short or absent: lengths of good tracks, reasons of the others."""
+    path = work_path(spark, "dataset")
+    source = adapters.embedding_waves(spark, sf_dir)
+    kept = F.when(F.col("utt_id") % 97 == 0, F.lit(None)).when(F.col("utt_id") % 89 == 0, F.slice("audio", 1, 32)).otherwise(F.col("audio"))
+    damaged = source.where(F.col("utt_id") % 101 != 0).select("utt_id", kept.alias("audio"))
+    made = run(source, damaged, adapters.track_requests(spark, sf_dir), path, NOISY_WAVES, 1)
+    stored = spark.read.parquet(path).select(
+        "track_id", F.lit("good").alias("status"), F.size("audio.array").cast("bigint").alias("n_samples"),
+    )
+    return stored.unionByName(made.failed.select("track_id", F.col("reason").alias("status"), F.lit(None).cast("bigint").alias("n_samples")))
+
+
 def _noise(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """One noise clip per conversation turn, as long as its text."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(

@@ -11,7 +11,7 @@ from ..operators import labels, quality, rows, waveforms
 from ..operators.pools import build_pools, speaker_slots, utterance_index
 from ..operators.turns import plan_turns
 from ..params import TrackParams
-from ..session import stage, tune, work_path
+from ..session import discard, stage, tune, work_path
 from ..sinks import tables
 
 
@@ -25,6 +25,7 @@ class Plan:
     index: DataFrame
     slots: DataFrame
     pools: DataFrame
+    stored: tuple[str, ...] = ()
 
     @property
     def turns(self) -> DataFrame:
@@ -51,10 +52,20 @@ def plan(utterances: DataFrame, requests: DataFrame, params: TrackParams | None
     """
     params = params or TrackParams()
     spark = tune(utterances.sparkSession)
-    index = stage(utterance_index(utterances, params), work_path(spark, "index"))
+    index_at, pools_at = work_path(spark, "index"), work_path(spark, "pools")
+    index = stage(utterance_index(utterances, params), index_at)
     slots = speaker_slots(requests, index, params)
-    pools = stage(build_pools(slots, index, params), work_path(spark, "pools"))
-    return Plan(params, requests, utterances, index, slots, pools)
+    pools = stage(build_pools(slots, index, params), pools_at)
+    return Plan(params, requests, utterances, index, slots, pools, (index_at, pools_at))
+
+
+@dataclass(frozen=True)
+class Report:
+    """What a run made: the manifest of the files, the tracks that failed with the reason, and the totals."""
+
+    manifest: DataFrame
+    failed: DataFrame
+    totals: DataFrame
 
 
 def generate(
@@ -65,23 +76,49 @@ def generate(
     params: TrackParams | None = None,
     max_megabytes: int = tables.SHARD_MEGABYTES,
 ) -> DataFrame:
-    """Build the whole dataset: labelled tracks with audio, in shards below ``out``; returns the manifest.
+    """Build the whole dataset; returns the manifest."""
+    return run(utterances, audio, requests, out, params, max_megabytes).manifest
+
+
+def run(
+    utterances: DataFrame,
+    audio: DataFrame,
+    requests: DataFrame,
+    out: str,
+    params: TrackParams | None = None,
+    max_megabytes: int = tables.SHARD_MEGABYTES,
+) -> Report:
+    """Build the whole dataset: labelled tracks with audio, in shards below ``out``.
 
-    ``audio`` is ``(utt_id, audio)``. Shards follow from planned lengths, before any audio is read; slices
-    then travel once, straight to the partition of their shard, together with the metadata.
+    ``audio`` is ``(utt_id, audio)``. Shards follow from planned lengths, before any audio is read; of the audio only
+    what the pieces need is packed, and slices travel once, straight to the partition of their shard, together with the
+    metadata. A track that lacks audio, or for which there are too few utterances, does not stop the run: it is
+    reported with its reason and has no row in the data. Working tables are deleted at the end, but for the list of failures.
     """
+    spark = utterances.sparkSession
     made = plan(utterances, requests, params)
     p = made.params
-    turns = stage(made.turns, work_path(utterances.sparkSession, "turns"))
-    lengths = turns.groupBy("track_id").agg(F.max("cum_after").alias("n"))
+    turns = stage(made.turns, turns_at := work_path(spark, "turns"))
+    everything = waveforms.pieces(turns, p)
+    wanted = waveforms.wanted_audio(everything, audio, p)
+    gaps = waveforms.find_gaps(everything, wanted)
+    unplanned = requests.select("track_id").distinct().join(turns.select("track_id").distinct(), "track_id", "left_anti")
+    failed = stage(gaps.unionByName(unplanned.withColumn("reason", F.lit("too few utterances"))), work_path(spark, "failed"))
+
+    good = turns.join(failed.select("track_id"), "track_id", "left_anti")
+    lengths = good.groupBy("track_id").agg(F.max("cum_after").alias("n"))
     sizes = lengths.select("track_id", tables.row_bytes(tables.wav_bytes(F.col("n"))).alias("bytes"))
     shards = tables.assign_shards(sizes, max_megabytes * 1024 * 1024).select("track_id", "shard")
-    meta = rows.track_rows(labels.with_text(turns, utterances), p).drop("snr").join(shards, "track_id")
-    pieces = waveforms.pieces(turns.join(shards, "track_id"), p)
-    slices = waveforms.cut_slices(pieces, waveforms.pack_audio(audio))
+    meta = rows.track_rows(labels.with_text(good, utterances), p).drop("snr").join(shards, "track_id")
+    pieces = waveforms.pieces(good.join(shards, "track_id"), p)
+    slices = waveforms.cut_slices(pieces, waveforms.pack_audio(wanted))
     mixed = waveforms.mix_down(slices, p, rows=meta)
     tracks = mixed.select(
         "shard", "track_id", "row.*", F.round("snr", 2).alias("snr"),
         F.struct(F.col("audio").alias("array"), F.lit(p.sampling_rate).cast("bigint").alias("sampling_rate")).alias("audio"),
     )
-    return tables.write_tracks(tracks, out)
+    manifest = tables.write_tracks(tracks, out)
+    totals = manifest.agg(F.coalesce(F.sum("tracks"), F.lit(0)).alias("tracks"), F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    totals = totals.crossJoin(failed.agg(F.count("*").alias("failed")))  # one row each
+    discard(spark, turns_at, *made.stored)
+    return Report(manifest, failed, totals)

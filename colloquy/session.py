@@ -39,10 +39,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can write to: ``spark.checkpoint.dir``; a temporary one only where unset."""
+    """The folder all executors can write to: ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a temporary one; on a cluster that would lose data, and is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir is unset: with master {master} working tables need a folder that executors share")
     local = getattr(shared_folder, "_local", None)
     if local is None:
         local = shared_folder._local = tempfile.mkdtemp(prefix="colloquy-")
@@ -60,6 +66,13 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete working tables that nothing reads any more."""
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def by_track(df: DataFrame, key: str = "track_id") -> DataFrame:
     """Hash-partition by track over all shuffle partitions.
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,7 +18,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("colloquy-tests")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "6g").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+        .config("spark.driver.memory", "6g").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="colloquy-tests-")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
