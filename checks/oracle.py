@@ -514,7 +514,7 @@ def _limited(array: str) -> str:
 
 
 sql("dsp_normalize", f"SELECT utt_id, {micro(_limited('audio'))} AS samples FROM {_LOUD}")
-sql("dsp_duration", f"SELECT utt_id, {seconds('least(utt_id + 1, 1600)')} AS duration FROM ({WAVES})")
+sql("dsp_duration", f"SELECT utt_id, {seconds('len(audio) * (utt_id % 25 + 1)')} AS duration FROM ({WAVES})")
 sql("dsp_pcm16", f"""
 SELECT utt_id, {micro('list_transform(audio, lambda x: greatest(-32768e0, least(32767e0, round(x * 32767e0))) / 32768e0)')} AS samples
 FROM {_LOUD}""")

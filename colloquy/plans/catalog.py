@@ -498,9 +498,8 @@ def dsp_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dsp_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.embedding_waves(spark, sf_dir, repeat=25).select(
-        "utt_id", audio.duration(F.slice("audio", F.lit(1), (F.col("utt_id") + 1).cast("int")), 16_000).alias("duration")
-    )
+    looped = F.flatten(F.array_repeat("audio", (F.col("utt_id") % 25 + 1).cast("int")))
+    return _waves(spark, sf_dir).select("utt_id", audio.duration(looped, 16_000).alias("duration"))
 
 
 @query
