@@ -399,6 +399,15 @@ for _name, _pattern in (("pat_monologue", "monologue"), ("pat_dialogue", "dialog
                         ("pat_group", "group_discussion"), ("pat_all", None)):
     sql(_name, _order(_pattern))
 
+sql("pat_custom", with_(spec_from(REQUESTS) + """,
+walked AS (
+  SELECT track_id, n_spk AS n, 0::BIGINT AS turn, 0::BIGINT AS spk, NULL::BIGINT AS prev FROM spec
+  UNION ALL
+  SELECT track_id, n, turn + 1, (spk + CASE WHEN (spk - prev + n) % n = 1 % n AND n > 1 THEN 2 ELSE 1 END) % n, spk
+  FROM walked WHERE turn < 11 + track_id % 20)""", """
+SELECT track_id, turn, 'stepwise' AS pattern, n AS n_spk, spk FROM walked
+UNION ALL SELECT track_id, turn, 'round_robin', 3, turn % 3 FROM walked"""))
+
 sql("plan_timeline", with_(_DOC, "SELECT track_id, turn, kind, n_samples, pause, cum_before, cum_after FROM turns"))
 sql("plan_pause", with_(_EVT, "SELECT track_id, turn, pause FROM turns WHERE kind = 'pause'"))
 sql("plan_overlap", with_(_EVT, "SELECT track_id, turn, round(ov_pct, 9) AS ov_pct FROM turns WHERE kind = 'overlap'"))
@@ -654,6 +663,9 @@ hum AS (
   SELECT conv_id, turn, n, i, sin(a) + 0.3 * sin(2 * a) + 0.1 * sin(3 * a) AS x
   FROM (SELECT *, 2e0 * pi() * hz * (i / 16000e0) AS a FROM clips JOIN pitch USING (conv_id, turn)))""", "hum"))
 
+sql("noise_custom", _clip_sql(f"""clips AS ({_CLIPS}),
+square AS (SELECT conv_id, turn, n, i, CASE WHEN (i // 8 + key) % 2 = 0 THEN 0.5e0 ELSE -0.5e0 END AS x FROM clips)""", "square"))
+
 # --- sinks and the rest -------------------------------------------------------------------------------------------
 
 _CONV = f"{SEGMENTS}{CONVERSATION_TURNS}, {spec_from('SELECT DISTINCT conv_id AS track_id FROM conversations').strip()}"

@@ -6,6 +6,8 @@ retried task yields the same samples.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 import numpy as np
 
 # Noise filter taps and noise parameters.
@@ -96,21 +98,42 @@ def to_unit_peak(x: np.ndarray) -> np.ndarray:
     return x / peak if peak > 0 else x
 
 
-def noise(kind: str, key: int, n: int, sampling_rate: int) -> np.ndarray:
+Maker = Callable[[int, int, int], np.ndarray]
+
+_MAKERS: dict[str, Maker] = {}
+
+
+def register_noise(name: str, maker: Maker) -> None:
+    """Make a kind of noise available by name; ``maker(key, n, sampling_rate)`` returns ``n`` samples of any peak."""
+    _MAKERS[name] = maker
+
+
+def unregister_noise(name: str) -> None:
+    _MAKERS.pop(name, None)
+
+
+def makers() -> dict[str, Maker]:
+    """All kinds known now: plans hand them to their tasks, where nothing has been registered."""
+    return dict(_MAKERS)
+
+
+def _crowd(key: int, n: int, _: int) -> np.ndarray:
+    return CROWD_WHITE * normals(key, n) + CROWD_PINK * to_unit_peak(pink(key, n))
+
+
+register_noise("white", lambda key, n, _: normals(key, n))
+register_noise("pink", lambda key, n, _: pink(key, n))
+register_noise("brown", lambda key, n, _: np.cumsum(normals(key, n)))
+register_noise("crowd", _crowd)
+register_noise("cafe", _crowd)
+register_noise("static", lambda key, n, _: _static(key, n))
+register_noise("hum", _hum)
+
+
+def noise(kind: str, key: int, n: int, sampling_rate: int, known: Mapping[str, Maker] | None = None) -> np.ndarray:
     """``n`` samples of noise with unit peak; unknown kinds are white."""
-    if kind == "pink":
-        x = pink(key, n)
-    elif kind == "brown":
-        x = np.cumsum(normals(key, n))
-    elif kind in ("crowd", "cafe"):
-        x = CROWD_WHITE * normals(key, n) + CROWD_PINK * to_unit_peak(pink(key, n))
-    elif kind == "static":
-        x = _static(key, n)
-    elif kind == "hum":
-        x = _hum(key, n, sampling_rate)
-    else:
-        x = normals(key, n)
-    return to_unit_peak(x)
+    known = _MAKERS if known is None else known
+    return to_unit_peak(known.get(kind, known["white"])(key, n, sampling_rate))
 
 
 def limit_peak(x: np.ndarray, limit: float = 1.0) -> np.ndarray:

@@ -51,6 +51,11 @@ def register(name: str, pattern: Pattern) -> None:
     _PATTERNS[name] = pattern
 
 
+def unregister(name: str) -> None:
+    """Forget a pattern."""
+    _PATTERNS.pop(name, None)
+
+
 class _SpeakerRange:
     other = OTHER_SPEAKERS
 

@@ -170,7 +170,7 @@ def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFr
     ``rows`` (same keys, any further columns) travel with the slices and come back as the struct ``row``: the
     finished audio needs no join.
     """
-    sampling_rate = p.sampling_rate
+    sampling_rate, known = p.sampling_rate, kernels.makers()
     keys = ["shard", "track_id"] if "shard" in slices.columns else ["track_id"]
     row_type = None
     if rows is not None:
@@ -200,7 +200,7 @@ def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFr
         )
         snr = None
         if first["noise_type"] is not None:
-            added = kernels.noise(first["noise_type"], first["noise_key"], len(wave), sampling_rate)
+            added = kernels.noise(first["noise_type"], first["noise_key"], len(wave), sampling_rate, known)
             wave, snr = kernels.mix_at_snr(wave, added, first["snr_db"])
         wave = kernels.limit_peak(wave).astype(np.float32)
         out = {name: pa.array([first[name]], pa.int64()) for name in keys}
@@ -224,23 +224,34 @@ def build_waveforms(turns: DataFrame, audio: DataFrame, p: TrackParams, noise: b
     return mix_down(cut_slices(whole, pack_audio(wanted)), p, noise)
 
 
+#: Samples of one batch that leaves a noise task, about.
+_BATCH_SAMPLES = 1 << 22
+
+
 def noise_clips(df: DataFrame, kind: Column, key: Column, n: Column, sampling_rate: int) -> DataFrame:
-    """Add ``noise`` (``array<double>``, unit peak): ``n`` samples of a kind from a 60-bit key."""
+    """Add ``noise`` (``array<double>``, unit peak): ``n`` samples of a kind from a 60-bit key.
+
+    A task holds a bounded number of samples, and one clip at least.
+    """
     wide = by_track(df.withColumns({"_kind": kind, "_key": key, "_n": n}), "_key")
-    names = list(df.columns)
+    names, known = list(df.columns), kernels.makers()
 
     def clips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [
-                kernels.noise(k.as_py(), s.as_py(), c.as_py(), sampling_rate)
-                for k, s, c in zip(batch.column("_kind"), batch.column("_key"), batch.column("_n"))
-            ]
+        def out(batch: pa.RecordBatch, start: int, made: list[np.ndarray]) -> pa.RecordBatch:
             bounds = np.concatenate(([0], np.cumsum([len(x) for x in made], dtype=np.int64))).astype(np.int32)
-            flat = np.concatenate(made) if made else np.zeros(0)
-            kept = [batch.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], [*names, "noise"]
-            )
+            kept = [batch.column(name).slice(start, len(made)) for name in names]
+            return pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(made)))], [*names, "noise"])
+
+        for batch in batches:
+            start, made, size = 0, [], 0
+            for k, s, c in zip(batch.column("_kind"), batch.column("_key"), batch.column("_n")):
+                made.append(kernels.noise(k.as_py(), s.as_py(), c.as_py(), sampling_rate, known))
+                size += len(made[-1])
+                if size >= _BATCH_SAMPLES:
+                    yield out(batch, start, made)
+                    start, made, size = start + len(made), [], 0
+            if made:
+                yield out(batch, start, made)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return wide.mapInArrow(clips, f"{fields}, noise array<double>")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import audio, rng
+from ..functions import audio, kernels, rng
 from ..functions.timing import centis, seconds
 from ..operators import labels, patterns, pools, quality, rows, specs, waveforms
 from ..operators.turns import plan_turns
@@ -193,6 +194,10 @@ def pool_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _speech_order(spark: SparkSession, sf_dir: str, pattern: str | None) -> DataFrame:
     """Speakers of 12 to 31 turns per requested track."""
+    return patterns.assign_speakers(_drawn_turns(spark, sf_dir, pattern)).select("track_id", "turn", "pattern", "n_spk", "spk")
+
+
+def _drawn_turns(spark: SparkSession, sf_dir: str, pattern: str | None) -> DataFrame:
     spec = specs.with_spec(adapters.track_requests(spark, sf_dir), DEFAULT)
     if pattern is not None:
         u = rng.lane(rng.digest(DEFAULT.seed, "spec", "track_id"), 1)
@@ -201,8 +206,7 @@ def _speech_order(spark: SparkSession, sf_dir: str, pattern: str | None) -> Data
         "track_id", "pattern", "n_spk",
         F.explode(F.sequence(F.lit(0).cast("bigint"), 11 + F.col("track_id") % 20)).alias("turn"),
     ).withColumn("_d", rng.digest(DEFAULT.seed, "turn", "track_id", "turn"))
-    drawn = turns.withColumns({"u": rng.lane("_d", 0), "v": rng.lane("_d", 1)}).drop("_d")
-    return patterns.assign_speakers(drawn).select("track_id", "turn", "pattern", "n_spk", "spk")
+    return turns.withColumns({"u": rng.lane("_d", 0), "v": rng.lane("_d", 1)}).drop("_d")
 
 
 @query
@@ -230,6 +234,28 @@ def pat_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _speech_order(spark, sf_dir, None)
 
 
+def _after_next(turn: int, n_spk: int, u: float, v: float, spoken: list[int]) -> int:
+    """One speaker is passed over where the last two turns were those of neighbours."""
+    if not spoken:
+        return 0
+    near = len(spoken) > 1 and (spoken[-1] - spoken[-2]) % n_spk == 1
+    return (spoken[-1] + (2 if near else 1)) % n_spk
+
+
+@query
+def pat_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own patterns: one in window form, registered for the query, and one speaker by speaker."""
+    patterns.register("round_robin", patterns.Pattern((3, 3), lambda t: t.turn % t.n))
+    drawn = _drawn_turns(spark, sf_dir, None)
+    try:
+        window = patterns.assign_speakers(drawn.withColumns({"pattern": F.lit("round_robin"), "n_spk": F.lit(3).cast("bigint")}))
+    finally:
+        patterns.unregister("round_robin")
+    stepwise = patterns.assign_speakers_sequential(drawn.withColumn("pattern", F.lit("stepwise")), _after_next)
+    columns = ["track_id", "turn", "pattern", "n_spk", "spk"]
+    return window.select(*columns).unionByName(stepwise.select(*columns))
+
+
 # --- planner and labels ------------------------------------------------------------------------------
 
 
@@ -618,6 +644,22 @@ def noise_hum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _noise(spark, sf_dir, "hum")
 
 
+def _square(key: int, n: int, sampling_rate: int) -> np.ndarray:
+    """A square wave of 16 samples; low first where the key is odd."""
+    high = (np.arange(n) // 8 + key) % 2 == 0
+    return np.where(high, 0.5, -0.5)
+
+
+@query
+def noise_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An own kind of noise, registered for the query."""
+    kernels.register_noise("square", _square)
+    try:
+        return _noise(spark, sf_dir, "square")
+    finally:
+        kernels.unregister_noise("square")
+
+
 # --- sinks and streaming ----------------------------------------------------------------------------------
 
 
