@@ -47,11 +47,14 @@ def events(turns: DataFrame, p: TrackParams) -> DataFrame:
         volume=slot_volume(p, "track_id", "spk"), start_samples=F.col("cum_before"),
         n_samples=F.col("n_samples"), trim_start=F.when(_trim() > 0, _trim()),
     ))
-    order = Window.partitionBy("track_id").orderBy("turn", "_pos")
-    return turns.select(
-        "track_id", "turn", F.posexplode(F.array_compact(F.array(lead_in, segment))).alias("_pos", "_e")
+    # a turn's events are counted before they are laid out: the sum over turns goes along with the planner's order
+    has_lead_in = (F.col("pause") > 0) | F.col("kind").isin("overlap", "simultaneous")
+    count = F.coalesce(has_lead_in, F.lit(False)).cast("bigint") + F.coalesce(has_segment(), F.lit(False)).cast("bigint")
+    earlier = Window.partitionBy("track_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    return turns.withColumn("_before", F.coalesce(F.sum(count).over(earlier), F.lit(0))).select(
+        "track_id", "turn", "_before", F.posexplode(F.array_compact(F.array(lead_in, segment))).alias("_pos", "_e")
     ).select(
-        "track_id", (F.row_number().over(order) - 1).cast("bigint").alias("event_idx"), "turn",
+        "track_id", (F.col("_before") + F.col("_pos")).cast("bigint").alias("event_idx"), "turn",
         *[F.col(f"_e.{name}").alias(name) for name, _ in EVENT_FIELDS],
     )
 
