@@ -43,17 +43,17 @@ GROUP, FIRST_BITS, STEP_BITS = 4_096, 20, 4
 CHUNK = 1 << 18
 
 
-def shingle_hashes(text: str | None) -> list[int]:
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> list[int]:
     words = (text or "").encode().lower().split()
     if not words:
         return []
     joined = b" ".join(words)
-    if len(words) < SHINGLE:
+    if len(words) < shingle:
         return [xxhash.xxh64_intdigest(joined, SEED)]
     ends = np.cumsum([len(w) + 1 for w in words]).tolist()
     starts = [0, *ends]
     digest = xxhash.xxh64_intdigest
-    return [digest(joined[start : end - 1], SEED) for start, end in zip(starts, ends[SHINGLE - 1 :])]
+    return [digest(joined[start : end - 1], SEED) for start, end in zip(starts, ends[shingle - 1 :])]
 
 
 def _bit_counts(hashes: np.ndarray) -> np.ndarray:
