@@ -40,6 +40,8 @@ SKIPPED = frozenset(
 RAW_TEXT = frozenset("script style textarea title iframe noscript template svg math".split())
 VOID = frozenset("area col embed hr param".split())
 PROTECTED = frozenset("html body article main".split())
+#: Elements that can stand in a head; any other closes an open one.
+IN_HEAD = frozenset("base bgsound basefont link meta noframes noscript script style template title".split())
 BONUS = {"article": 25.0, "main": 15.0, "section": 3.0, "div": 3.0}
 #: An opening tag on the left closes an open element on the right.
 CLOSES = {
@@ -101,6 +103,7 @@ class Tree:
         self.root = self.at = Node("html", None, False)
         self.text: list[str] = []
         self.in_link, self.linked = False, 0
+        self.in_head = False
         self._read(page)
 
     def _read(self, page: str) -> None:
@@ -126,6 +129,8 @@ class Tree:
         self._flush()
 
     def _add(self, piece: str) -> None:
+        if self.in_head and self.at.tag == "head" and piece.strip():
+            self._leave_head()
         if not self.at.skipped:
             self.text.append(piece)
             if self.in_link:
@@ -157,6 +162,8 @@ class Tree:
             up = up.parent
 
     def _open(self, name: str, rest: str) -> None:
+        if self.in_head and name not in IN_HEAD and name not in ("html", "head"):
+            self._leave_head()
         if name in INLINE:
             if name == "br":
                 self._add(" ")
@@ -167,6 +174,8 @@ class Tree:
         self.in_link = False
         if name in ("html", "body"):
             return
+        if name == "head":
+            self.in_head = True
         if name in NO_PARAGRAPH:
             self._end("p")
         for closed in CLOSES.get(name, ()):
@@ -182,6 +191,17 @@ class Tree:
             self.at.items.append(node)
         self.at = node
 
+    def _leave_head(self) -> None:
+        """</head> is optional: what cannot stand in a head ends it. A template or noscript in it keeps what it holds."""
+        node = self.at
+        while node.tag != "head":
+            if node.tag in RAW_TEXT or node.parent is None:
+                return
+            node = node.parent
+        self._flush()
+        self.in_link, self.in_head = False, False
+        self.at = node.parent
+
     def _within(self, tags: tuple[str, ...]) -> bool:
         node = self.at
         while node is not None:
@@ -214,6 +234,7 @@ class Tree:
             if node.tag == name:
                 self._flush()
                 self.in_link = False
+                self.in_head = self.in_head and name != "head"
                 self.at = node.parent
                 return
             node = node.parent
