@@ -64,8 +64,7 @@ SIBLING_SHARE, LONG_PARAGRAPH = 0.2, 80
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<(?:/?[A-Za-z]|!|\?)[^<]*\Z", re.S,
 )
-_HINTED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -89,13 +88,15 @@ class Node:
 
 def _hinted(rest: str, inside: bool) -> bool:
     """``inside`` an article, its own header is no header of the page."""
-    if not rest or "=" not in rest:
-        return bool(rest) and bool(_HIDDEN.search(rest))
-    for values in _HINTED.findall(rest):
-        parts = {part.lower() for value in values for part in _PART.findall(value)}
-        if parts & HINTS - ({"header"} if inside else set()):
+    for name, *values in _ATTRIBUTE.findall(rest):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
             return True
-    return bool(_HIDDEN.search(rest))
+        if name in ("class", "id", "role"):
+            parts = {part.lower() for part in _PART.findall(value)}
+            if parts & HINTS - ({"header"} if inside else set()):
+                return True
+    return False
 
 
 class Tree:

@@ -18,3 +18,15 @@ def test_open_head(head):
 
 def test_bare_text_ends_a_head():
     assert main_text("<head><title>x</title> Bare text, here, and more") == "Bare text, here, and more"
+
+
+@pytest.mark.parametrize("attributes", [
+    'title="The hidden cost"', 'data-x="a hidden thing"', "title='see class=advert here'", 'data-a="x aria-hidden=true"', 'aria-hidden="false"', "data-hidden=1",
+])
+def test_words_in_values_hide_nothing(attributes):
+    assert main_text(f"<div {attributes}><p>A block, with commas, and text.</p></div>") == "A block, with commas, and text."
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN", 'hidden=""', 'title="a b" hidden', "aria-hidden=true", "aria-hidden = 'TRUE'", 'id="x" class="big advert"', "role=navigation"])
+def test_hidden_and_hinted_elements(attributes):
+    assert main_text(f"<div {attributes}><p>A block, with commas, and text.</p></div><p>Rest.</p>") == "Rest."
