@@ -7,7 +7,12 @@ would be lost", that is P(Bin(n, risk) <= k) <= level for k lost of n, which is
 below ``risk``. Cutoffs of a rule are tested in fixed order and testing stops at the first that fails, which needs no
 correction; ``delta`` is divided by the number of (stratum, rule) pairs, and the stratum's ``risk`` by the number of
 rules. So, with probability 1 - delta, no stratum loses more than ``risk`` of its good documents. The strictest
-certified cutoff is used; a rule with none, for lack of labels, say, rejects nothing there.
+certified cutoff is used; a rule with none, for lack of labels, say, rejects nothing there. The SQL counterpart of
+``op5_quality`` states this division, and :func:`report` keeps to it; it needs about 1,900 good labels a stratum.
+
+:func:`passing`, the pipeline's stage, certifies all rules together: in one fixed sequence each step has a cutoff of every rule, from
+the most lenient of all to the strictest of all, and the test is on the good documents lost to any rule, of those that the base rule leaves, at the full
+``risk``; ``delta`` is divided by the strata only. The guarantee is the same, and 228 good labels a stratum suffice.
 
 Nulls: a null text has no words (and fails the base rule); a null language is in the stratum of the rest; labels with a
 null id or quality are not used. A document with several labels is good if all of them say so. Repeated rows are
@@ -132,15 +137,24 @@ def stratum_of(lang: Column, strata: Sequence[str]) -> Column:
     return F.when(lang.isin(*strata), lang).otherwise(F.lit("other"))
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+
+
+def _good(measured: DataFrame, labels: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """Measured documents with a good label, and their stratum."""
+    require(labels, "doc_id", "quality")
+    good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("l_id"))
+    good = good.agg(F.min("quality").alias("quality")).where("quality = 1")
+    return measured.join(good, F.col("doc_id") == F.col("l_id")).withColumn("stratum", stratum_of(F.col("lang"), strata))
+
+
 def certified(measured: DataFrame, labels: DataFrame, strata: Sequence[str], risk: float, delta: float) -> DataFrame:
     """One row per stratum with labels: a cutoff, or null, for each rule. At most ``len(strata) + 1`` rows.
 
     ``measured``: (doc_id, lang, signals).
     """
-    require(labels, "doc_id", "quality")
-    good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("l_id"))
-    good = good.agg(F.min("quality").alias("quality")).where("quality = 1")
-    held = measured.join(good, F.col("doc_id") == F.col("l_id")).withColumn("stratum", stratum_of(F.col("lang"), strata))
+    held = _good(measured, labels, strata)
     names = [(rule, i, cut) for rule, cuts in CUTOFFS.items() for i, cut in enumerate(cuts)]
     lost = [F.count_if(F.col(rule) > F.lit(cut)).alias(f"{rule}_{i}") for rule, i, cut in names]
     counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *lost)
@@ -158,14 +172,28 @@ def certified(measured: DataFrame, labels: DataFrame, strata: Sequence[str], ris
     return chosen.withColumnRenamed("stratum", "s")
 
 
+def certified_jointly(measured: DataFrame, labels: DataFrame, strata: Sequence[str], risk: float, delta: float) -> DataFrame:
+    """As :func:`certified`, for the union of the rules: of the steps in order the last before one fails."""
+    steps = range(max(len(cuts) for cuts in CUTOFFS.values()))
+    at = [{rule: cuts[min(i, len(cuts) - 1)] for rule, cuts in CUTOFFS.items()} for i in steps]
+    held = _good(measured, labels, strata).where(~base_failed())
+    lost = [F.count_if(F.greatest(*[F.col(rule) > F.lit(cut) for rule, cut in at[i].items()])).alias(f"k_{i}") for i in steps]
+    counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *lost)
+    passes = [binomial_tail(F.col(f"k_{i}"), F.col("n"), risk) <= F.lit(delta / (len(strata) + 1)) for i in steps]
+    counts = counts.select("stratum", F.array(*passes).alias("passes"))
+    last = F.array_position(F.concat("passes", F.array(F.lit(False))), F.lit(False)) - 1
+    cuts = F.get(F.array(*[F.struct(*[F.lit(cut).alias(rule) for rule, cut in cuts.items()]) for cuts in at]), last.cast("int") - 1)
+    chosen = counts.select(F.col("stratum").alias("s"), cuts.alias("cuts"))
+    return chosen.select("s", *[F.col(f"cuts.{rule}").alias(f"cut_{rule}") for rule in CUTOFFS])
+
+
 def verdicts(measured: DataFrame, cuts: DataFrame, strata: Sequence[str]) -> DataFrame:
     """Adds ``base_failed`` and ``kept``. ``cuts`` has a row per stratum, of which there are few, and so is broadcast."""
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     joined = measured.join(F.broadcast(cuts), stratum_of(F.col("lang"), strata) == F.col("s"), "left")
     above = F.lit(False)
     for rule in CUTOFFS:
         above = above | F.coalesce(F.col(rule) > F.col(f"cut_{rule}"), F.lit(False))
-    return joined.withColumn("base_failed", base).withColumn("kept", ~base & ~above)
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & ~above)
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -186,6 +214,6 @@ def passing(docs: DataFrame, labels: DataFrame, strata: Sequence[str] = STRATA,
     The signals of labelled documents come first; then each row is measured and judged where it is read, so that no
     text is shuffled.
     """
-    cuts = stage(certified(_measured(docs), labels, strata, risk, delta), work_path(docs.sparkSession, "quality-cutoffs"))
+    cuts = stage(certified_jointly(_measured(docs), labels, strata, risk, delta), work_path(docs.sparkSession, "quality-cutoffs"))
     rows = verdicts(signals(docs), cuts, strata).where("kept and barrier >= 0").select("row")
     return rows.select(*unpacked(rows))
