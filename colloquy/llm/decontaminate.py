@@ -6,6 +6,10 @@ tokens, those with at least ``LITERALS`` words left, are its template; an item s
 whole. Windows are joined by hash: a document's windows are made where it is read and joined with the benchmark's distinct
 ones; Spark broadcasts those if they are below its threshold and shuffles both sides otherwise.
 
+Names are found by capitals, which a text in capitals or in lower case does not have. So a second set of windows ignores case:
+all words lower case, names among them, and only numbers and units replaced. Windows of either kind match, and tokens are alike if either form is.
+White space counts as one blank before names are looked for.
+
 Each match votes for an alignment (document, item, shift). The alignments of a document and an item together must
 cover ``COVERAGE`` of the item's tokens. They are then read again from the text: at an alignment the item's placeholders
 stand opposite values of the document. One alignment, or all together, must cover enough and be consistent. Consistency: one value of the item must always meet the same value, and
@@ -55,16 +59,25 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(_plain(text), F.lit(RAW), F.lit(0))
 
 
-def canonical_tokens(text: Column) -> Column:
-    """One for each raw token. Numbers and names are replaced in the whole text, single words by look-up."""
-    replaced = F.regexp_replace(_plain(text), NAME_IN_TEXT, NAME)
-    replaced = F.lower(F.regexp_replace(replaced, NUMBER_IN_TEXT, NUMBER))
-    found = F.regexp_extract_all(replaced, F.lit("[]|[\\p{L}\\p{M}]+"), F.lit(0))
+def _typed(text: Column) -> Column:
+    """Tokens of a text whose names are replaced already or not at all. Numbers are replaced in the whole text, single words by look-up."""
+    replaced = F.lower(F.regexp_replace(text, NUMBER_IN_TEXT, NUMBER))
+    found = F.regexp_extract_all(replaced, F.lit("[%s%s%s]|[\\p{L}\\p{M}]+" % (NUMBER, NAME, UNIT)), F.lit(0))
     return F.transform(
         found, lambda w: F.when(w.isin(*NUMBER_WORDS), F.lit(NUMBER)).when(w.isin(*UNITS), F.lit(UNIT)).otherwise(w),
     )
 
 
+def canonical_tokens(text: Column) -> Column:
+    """One for each raw token."""
+    return _typed(F.regexp_replace(F.regexp_replace(_plain(text), r"[\s\p{Z}]+", " "), NAME_IN_TEXT, NAME))
+
+
+def caseless_tokens(text: Column) -> Column:
+    """One for each raw token; names stay words."""
+    return _typed(_plain(text))
+
+
 def _windows(canonical: str, length: int) -> Column:
     """Hashes of all windows, in order."""
     tokens = F.col(canonical)
@@ -75,20 +88,26 @@ def _windows(canonical: str, length: int) -> Column:
     return F.transform(F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (length - 1), F.lit(0))), hashed)
 
 
+def _forms(canonical: str, caseless: str) -> list[Column]:
+    return [canonical_tokens(F.col("text")).alias(canonical), caseless_tokens(F.col("text")).alias(caseless)]
+
+
 def templates(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Items (item_id, raw, canonical, item_tokens), and their windows (item_id, length, at, h)."""
+    """Items (item_id, raw, canonical, caseless, item_tokens), and their windows (item_id, length, at, h)."""
     require(benchmark, "item_id", "text")
     spark = benchmark.sparkSession
     unique = benchmark.where(F.col("text").isNotNull()).groupBy("text").agg(F.min("item_id").alias("item_id"))
-    items = unique.select("item_id", raw_tokens(F.col("text")).alias("raw"), canonical_tokens(F.col("text")).alias("canonical"))
+    items = unique.select("item_id", raw_tokens(F.col("text")).alias("raw"), *_forms("canonical", "caseless"))
     items = stage(items.withColumn("item_tokens", F.size("canonical")).where("item_tokens > 0"), work_path(spark, "bench-items"))
     made = None
     for length in range(LITERALS, WINDOW + 1):
         fits = F.col("item_tokens") >= WINDOW if length == WINDOW else F.col("item_tokens") == length
-        some = items.where(fits).select("item_id", "canonical", F.posexplode(_windows("canonical", length)).alias("at", "h"))
-        literal = F.filter(F.slice("canonical", F.col("at") + 1, length), lambda w: ~w.isin(NUMBER, NAME, UNIT))
-        some = some.where(F.size(literal) >= LITERALS).select("item_id", F.lit(length).alias("length"), "at", "h")
-        made = some if made is None else made.unionByName(some)
+        for form in ("canonical", "caseless"):
+            some = items.where(fits).select("item_id", form, F.posexplode(_windows(form, length)).alias("at", "h"))
+            literal = F.filter(F.slice(form, F.col("at") + 1, length), lambda w: ~w.isin(NUMBER, NAME, UNIT))
+            some = some.where(F.size(literal) >= LITERALS).select("item_id", F.lit(length).alias("length"), "at", "h")
+            made = some if made is None else made.unionByName(some)
+    made = made.distinct()
     return items, stage(made, work_path(spark, "bench-windows"))
 
 
@@ -111,10 +130,13 @@ def candidates(docs: DataFrame, items: DataFrame, windows: DataFrame) -> DataFra
     """(doc_id, th, item_id, covered, shifts) of the pairs whose windows cover enough of the item."""
     spark = docs.sparkSession
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most WINDOW values
-    tokenised = docs.select(*_keys(docs), canonical_tokens(F.col("text")).alias("canonical"))
+    tokenised = docs.select(*_keys(docs), *_forms("canonical", "caseless"))
     made = None
     for length in lengths:
-        some = tokenised.select("doc_id", "th", F.posexplode(_windows("canonical", length)).alias("pos", "h"))
+        both = F.arrays_zip(_windows("canonical", length).alias("x"), _windows("caseless", length).alias("y"))
+        some = tokenised.select("doc_id", "th", F.posexplode(both).alias("pos", "z"))
+        # windows without names are the same in both forms
+        some = some.select("doc_id", "th", "pos", F.explode(F.array_distinct(F.array("z.x", "z.y"))).alias("h"))
         made = some if made is None else made.unionByName(some)
     if made is None:
         made = tokenised.select("doc_id", "th", F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("h")).limit(0)
@@ -141,20 +163,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     keyed = docs.select("text", *_keys(docs))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
     texts = keyed.join(wanted, same, "left_semi").groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t")).agg(F.min("text").alias("text"))
-    read = texts.select("d", "t", raw_tokens(F.col("text")).alias("doc_raw"), canonical_tokens(F.col("text")).alias("doc_canonical"))
-    about = items.select(F.col("item_id").alias("i"), "raw", "canonical")
+    read = texts.select("d", "t", raw_tokens(F.col("text")).alias("doc_raw"), *_forms("doc_canonical", "doc_caseless"))
+    about = items.select(F.col("item_id").alias("i"), "raw", "canonical", "caseless")
     joined = pairs.join(read, same).join(about, F.col("item_id") == F.col("i"))
 
+    def same_token(token: Column, i: Column, shift: Column) -> Column:
+        either = (F.get("doc_canonical", i + shift) == token) | (F.get("doc_caseless", i + shift) == F.get("caseless", i))
+        return F.coalesce(either, F.lit(False))
+
     def opposite(shift: Column) -> Column:
         def pair(token: Column, i: Column) -> Column:
-            alike = (F.get("doc_canonical", i + shift) == token) & token.isin(NUMBER, NAME, UNIT)
-            return F.when(alike, F.struct(F.lower(F.get("raw", i)).alias("a"), F.lower(F.get("doc_raw", i + shift)).alias("b")))
+            return F.when(same_token(token, i, shift) & token.isin(NUMBER, NAME, UNIT), F.struct(F.lower(F.get("raw", i)).alias("a"), F.lower(F.get("doc_raw", i + shift)).alias("b")))
 
         return F.array_compact(F.transform("canonical", pair))
 
     def alike(shift: Column) -> Column:
         return F.aggregate(
-            F.transform("canonical", lambda token, i: F.coalesce((F.get("doc_canonical", i + shift) == token).cast("int"), F.lit(0))),
+            F.transform("canonical", lambda token, i: same_token(token, i, shift).cast("int")),
             F.lit(0), lambda n, same: n + same,
         )
 
