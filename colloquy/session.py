@@ -73,6 +73,26 @@ def discard(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Workspace:
+    """Working tables of one job, in a folder of its own below the shared one, deleted on leaving.
+
+    ``with Workspace(spark, "job") as work: ... work.stage(df, "name")``. What outlives the job is staged elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder, self.made = spark, work_path(spark, name), 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        discard(self.spark, self.folder)
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.made += 1
+        return stage(df, f"{self.folder}/{self.made:03d}-{name}")
+
+
 def by_track(df: DataFrame, key: str = "track_id") -> DataFrame:
     """Hash-partition by track over all shuffle partitions.
 
