@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, html_extract, licenses, mixing, oracle, quality, secrets_crf, sharding, simhash, toxicity, urls
+from colloquy.llm import (
+    clustering, decontaminate, html_extract, licenses, mixing, oracle, packing, prefix_trie, quality, secrets_crf, sharding, simhash, toxicity, urls,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +67,21 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.report(_table(spark, sf_dir, "conversations"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each piece of a document in the packed sequences."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of each vector."""
+    return clustering.report(_table(spark, sf_dir, "embeddings")).drop("scans")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents filtered, deduplicated, decontaminated, mixed and sharded."""
     import corpus_pipeline
@@ -75,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_secrets, op2_decontaminate, op3_mix, op4_simhash, op5_quality, op6_urls, op7_toxicity, op8_html, op9_licenses, op10_shards,
-        pipeline,
+        op11_prefix_trie, op12_packing, op13_clusters, pipeline,
     )}
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from colloquy.llm.clustering import CLUSTERS, ROUNDS, SCALE, SEED as CLUSTER_SEED, SIZE
+from colloquy.llm.prefix_trie import GROUP, HEAD
 from colloquy.llm.quality import CUTOFFS, DELTA, MAX_REPEATED, MIN_WORDS, RISK, STRATA
 from colloquy.llm.urls import RULES
 
@@ -105,5 +107,66 @@ SELECT s.page_id, host, path, rule, coalesce(verdict, CASE WHEN host = '' THEN '
 FROM split s LEFT JOIN best b ON s.page_id = b.page_id"""
 
 
+def op11_prefix_trie() -> str:
+    """Every prefix of every conversation as a list; subtrees by listing all ancestors of each node. CRC32 bit by bit."""
+    shift = "list_reduce([xor(a, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda v, one: xor(v >> 1, (v & one) * 3988292384))"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)), lambda a, b: {shift}), 4294967295)"
+    return f"""
+WITH turn_of AS (
+  SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(t ORDER BY pos) AS turns, {crc} % {HEAD + 1} AS h FROM turn_of GROUP BY conv_id),
+conv AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1 : a.h], a.turns[a.h + 1 :]) AS turns
+  FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % {GROUP}),
+member AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM conv),
+node AS (
+  SELECT depth, turns[1 : depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends,
+         coalesce((count(*) - 1) * strlen(any_value(turns[depth].text)), 0) AS saved
+  FROM member GROUP BY depth, turns[1 : depth]),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, count(k.depth) AS n_children
+  FROM node n LEFT JOIN node p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1 : n.depth - 1]
+  LEFT JOIN node k ON k.depth = n.depth + 1 AND k.prefix[1 : n.depth] = n.prefix GROUP BY ALL),
+above AS (SELECT *, unnest(range(0, depth + 1)) AS up FROM linked),
+subtree AS (
+  SELECT up AS depth, prefix[1 : up] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM above GROUP BY up, prefix[1 : up])
+SELECT l.conv_id, l.depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM linked l JOIN subtree s ON l.depth = s.depth AND l.prefix = s.prefix"""
+
+
+def op13_clusters() -> str:
+    """All distances of each round, in integers."""
+    def assigned(name: str, centroids: str) -> str:
+        distance = f"list_sum(list_transform(range(1, {SIZE + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+        return f"{name} AS (SELECT rid, min({{'d': {distance}::BIGINT, 'c': c.c}}) AS best FROM vec v, {centroids} c GROUP BY rid)"
+
+    def moved(name: str, before: str, assignment: str) -> str:
+        return f"""{name}_sum AS (
+  SELECT best.c AS c, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM (SELECT best, x, unnest(range(1, {SIZE + 1})) AS i FROM {assignment} JOIN vec USING (rid)) GROUP BY ALL),
+{name}_new AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM {name}_sum GROUP BY c),
+{name} AS (SELECT b.c, coalesce(m.x, b.x) AS x FROM {before} b LEFT JOIN {name}_new m ON b.c = m.c)"""
+
+    rounds = []
+    for n in range(ROUNDS):
+        rounds += [assigned(f"a{n}", f"c{n}"), moved(f"c{n + 1}", f"c{n}", f"a{n}")]
+    steps = ",\n".join([*rounds, assigned("last", f"c{ROUNDS}")])
+    return f"""
+WITH vec AS (
+  SELECT vec_id, list_transform(embedding, lambda e: floor({SCALE} * e::DOUBLE)::BIGINT) AS x, row_number() OVER () AS rid
+  FROM embeddings WHERE len(embedding) = {SIZE} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {SIZE}),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('{CLUSTER_SEED}:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS c, x FROM vec
+  ORDER BY sha256('{CLUSTER_SEED}:' || coalesce(vec_id::VARCHAR, '')), x LIMIT {CLUSTERS}),
+{steps}
+SELECT vec_id, best.c::INT AS cluster, best.d::BIGINT AS distance, sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia,
+       sum(best.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM last JOIN vec USING (rid) JOIN c{ROUNDS} c ON c.c = best.c"""
+
+
 def all_sql() -> dict[str, str]:
-    return {f.__name__: f() for f in (op3_mix, op5_quality, op6_urls)}
+    return {f.__name__: f() for f in (op3_mix, op5_quality, op6_urls, op11_prefix_trie, op13_clusters)}
