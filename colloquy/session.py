@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,8 +58,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/colloquy/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, inside the innermost open workspace."""
+    inside = Workspace.open_folders[-1] if Workspace.open_folders else f"{shared_folder(spark)}/colloquy"
+    return f"{inside}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -76,16 +79,21 @@ def discard(spark: SparkSession, *paths: str) -> None:
 class Workspace:
     """Working tables of one job, in a folder of its own below the shared one, deleted on leaving.
 
-    ``with Workspace(spark, "job") as work: ... work.stage(df, "name")``. What outlives the job is staged elsewhere.
+    ``with Workspace(spark, "job") as work: ... work.stage(df, "name")``. Fresh paths asked for inside are in the folder, too. What outlives the
+    job is staged to a path made before.
     """
 
+    open_folders: ClassVar[list[str]] = []
+
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.folder, self.made = spark, work_path(spark, name), 0
 
     def __enter__(self) -> Workspace:
+        self.open_folders.append(self.folder)
         return self
 
     def __exit__(self, *_: object) -> None:
+        self.open_folders.remove(self.folder)
         discard(self.spark, self.folder)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -93,6 +101,13 @@ class Workspace:
         return stage(df, f"{self.folder}/{self.made:03d}-{name}")
 
 
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The stored result of a job, whose working tables are deleted."""
+    path = work_path(spark, name)
+    with Workspace(spark, name):
+        return stage(make(), path)
+
+
 def by_track(df: DataFrame, key: str = "track_id") -> DataFrame:
     """Hash-partition by track over all shuffle partitions.
 
