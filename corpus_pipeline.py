@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import decontaminate, mixing, near_copies, quality, sharding
-from colloquy.session import stage, work_path
+from colloquy.llm import decontaminate, mixing, quality, sharding, simhash
+from colloquy.session import Workspace, settled, stage, work_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard of 0.8 or more)."""
-    return near_copies.one_per_group(docs)
+    """One document of each group whose fingerprints are linked, by the operator's own shingle length and bit distance."""
+    return simhash.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), work_path(spark, f"pipeline-{name}"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over the documents of a folder. Only the last one's result stays in the shared folder."""
+    docs, result = spark.read.parquet(f"{sf_dir}/documents.parquet"), work_path(spark, "pipeline")
+    with Workspace(spark, "pipeline-stages"):
+        for name, step in STAGES[:-1]:
+            docs = settled(spark, name, lambda: step(spark, docs, sf_dir))  # noqa: B023 - called at once
+        return stage(STAGES[-1][1](spark, docs, sf_dir), result)
