@@ -49,10 +49,10 @@ def op5_quality() -> str:
         "duplicate_lines": "n_dup_lines / greatest(n_lines, 1)", "capitals_per_letter": "n_capitals / greatest(word_chars, 1)",
         "word_length": f"word_chars / {n}", "word_shortness": f"-word_chars / {n}",
     }
-    tests = (len(STRATA) + 1) * len(CUTOFFS)
-    p, level = RISK / len(CUTOFFS), DELTA / tests
-    cells = ", ".join(f"('{rule}', {i}, {cut!r}::DOUBLE)" for rule, cuts in CUTOFFS.items() for i, cut in enumerate(cuts))
-    value = "CASE rule " + " ".join(f"WHEN '{rule}' THEN {rule}" for rule in CUTOFFS) + " END"
+    steps = range(max(map(len, CUTOFFS.values())))
+    above = [" OR ".join(f"{rule} > {cuts[min(i, len(cuts) - 1)]!r}::DOUBLE" for rule, cuts in CUTOFFS.items()) for i in steps]
+    lost = " UNION ALL ".join(f"SELECT stratum, {i} AS step, count(*) AS n, count(*) FILTER ({a}) AS k FROM held GROUP BY stratum" for i, a in enumerate(above))
+    rejected = " ".join(f"WHEN {i} THEN {a}" for i, a in enumerate(above))
     strata = ", ".join(f"'{s}'" for s in STRATA)
     return rf"""
 WITH split AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
@@ -74,21 +74,17 @@ counted AS (
   FROM lined l LEFT JOIN covered c ON l.doc_id = c.doc_id),
 measured AS (SELECT *, {", ".join(f"({e})::DOUBLE AS {rule}" for rule, e in signals.items())} FROM counted),
 good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-cell AS (SELECT * FROM (VALUES {cells}) v(rule, step, cut)),
-lost AS (
-  SELECT stratum, rule, step, cut, count(*) AS n, count(*) FILTER ({value} > cut) AS k
-  FROM measured JOIN good USING (doc_id), cell GROUP BY ALL),
+held AS (SELECT * FROM measured JOIN good USING (doc_id) WHERE NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words)),
+lost AS ({lost}),
 tail AS (
-  SELECT stratum, rule, step, cut, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p!r}::DOUBLE) + (n - i) * ln({1 - p!r}::DOUBLE))) AS tail
+  SELECT stratum, step, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK!r}::DOUBLE) + (n - i) * ln({1 - RISK!r}::DOUBLE))) AS tail
   FROM (SELECT *, unnest(range(k + 1)) AS i FROM lost) GROUP BY ALL),
-passed AS (SELECT *, bool_and(tail <= {level!r}::DOUBLE) OVER (PARTITION BY stratum, rule ORDER BY step) AS ok FROM tail),
-chosen AS (SELECT stratum, rule, min(cut) AS cut FROM passed WHERE ok GROUP BY ALL),
-above AS (
-  SELECT doc_id, bool_or({value} > cut) AS above FROM measured JOIN chosen USING (stratum) GROUP BY doc_id)
+passed AS (SELECT *, bool_and(tail <= {DELTA / (len(STRATA) + 1)!r}::DOUBLE) OVER (PARTITION BY stratum ORDER BY step) AS ok FROM tail),
+chosen AS (SELECT stratum, max(step) AS step FROM passed WHERE ok GROUP BY stratum)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed,
-       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words) AND NOT coalesce(above, false) AS kept
-FROM measured m LEFT JOIN above a ON m.doc_id = a.doc_id"""
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words) AND NOT coalesce(CASE step {rejected} END, false) AS kept
+FROM measured m LEFT JOIN chosen c ON m.stratum = c.stratum"""
 
 
 def op6_urls() -> str:

@@ -4,15 +4,11 @@ Each rule rejects a document whose signal lies above a cutoff. The candidate cut
 lenient to strict. In each stratum (language; those not listed share one stratum) the labelled documents of good quality
 are the holdout. A cutoff is certified if the exact binomial test rejects "more than ``risk`` of the good documents
 would be lost", that is P(Bin(n, risk) <= k) <= level for k lost of n, which is the same as a Clopper-Pearson upper bound
-below ``risk``. Cutoffs of a rule are tested in fixed order and testing stops at the first that fails, which needs no
-correction; ``delta`` is divided by the number of (stratum, rule) pairs, and the stratum's ``risk`` by the number of
-rules. So, with probability 1 - delta, no stratum loses more than ``risk`` of its good documents. The strictest
-certified cutoff is used; a rule with none, for lack of labels, say, rejects nothing there. The SQL counterpart of
-``op5_quality`` states this division, and :func:`report` keeps to it; it needs about 1,900 good labels a stratum.
-
-:func:`passing`, the pipeline's stage, certifies all rules together: in one fixed sequence each step has a cutoff of every rule, from
-the most lenient of all to the strictest of all, and the test is on the good documents lost to any rule, of those that the base rule leaves, at the full
-``risk``; ``delta`` is divided by the strata only. The guarantee is the same, and 228 good labels a stratum suffice.
+below ``risk``. All rules are certified together: in one fixed sequence each step has a cutoff of every rule, from the most
+lenient of all to the strictest of all, and k are the good documents lost to any rule, of those that the base rule leaves. Steps are tested in order
+and testing stops at the first that fails, which needs no correction; ``delta`` is divided by the number of strata. So, with
+probability 1 - delta, no stratum loses more than ``risk`` of its good documents to the rules. The cutoffs of the last certified step are used; a
+stratum with none, for lack of labels, say, rejects nothing by them. 228 good labels of a stratum, none of them lost, suffice for all steps.
 
 Nulls: a null text has no words (and fails the base rule); a null language is in the stratum of the rest; labels with a
 null id or quality are not used. A document with several labels is good if all of them say so. Repeated rows are
@@ -23,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.text import let, packed, require, unpacked, words
@@ -150,30 +146,10 @@ def _good(measured: DataFrame, labels: DataFrame, strata: Sequence[str]) -> Data
 
 
 def certified(measured: DataFrame, labels: DataFrame, strata: Sequence[str], risk: float, delta: float) -> DataFrame:
-    """One row per stratum with labels: a cutoff, or null, for each rule. At most ``len(strata) + 1`` rows.
+    """One row per stratum with labels: a cutoff, or null, for each rule, of the last step before one fails. At most ``len(strata) + 1`` rows.
 
-    ``measured``: (doc_id, lang, signals).
+    ``measured``: (doc_id, lang, counts, signals).
     """
-    held = _good(measured, labels, strata)
-    names = [(rule, i, cut) for rule, cuts in CUTOFFS.items() for i, cut in enumerate(cuts)]
-    lost = [F.count_if(F.col(rule) > F.lit(cut)).alias(f"{rule}_{i}") for rule, i, cut in names]
-    counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *lost)
-    cells = counts.select("stratum", "n", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(cut).alias("cut"), F.col(f"{rule}_{i}").alias("k"))
-        for rule, i, cut in names
-    ])).alias("cell")).select("stratum", "n", "cell.*")
-    tests = (len(strata) + 1) * len(CUTOFFS)
-    passes = binomial_tail(F.col("k"), F.col("n"), risk / len(CUTOFFS)) <= F.lit(delta / tests)
-    in_order = Window.partitionBy("stratum", "rule").orderBy("step")
-    cells = cells.withColumn("passes", passes).withColumn("all_so_far", F.min("passes").over(in_order))
-    chosen = cells.groupBy("stratum").agg(*[
-        F.min(F.when(F.col("all_so_far") & (F.col("rule") == rule), F.col("cut"))).alias(f"cut_{rule}") for rule in CUTOFFS
-    ])
-    return chosen.withColumnRenamed("stratum", "s")
-
-
-def certified_jointly(measured: DataFrame, labels: DataFrame, strata: Sequence[str], risk: float, delta: float) -> DataFrame:
-    """As :func:`certified`, for the union of the rules: of the steps in order the last before one fails."""
     steps = range(max(len(cuts) for cuts in CUTOFFS.values()))
     at = [{rule: cuts[min(i, len(cuts) - 1)] for rule, cuts in CUTOFFS.items()} for i in steps]
     held = _good(measured, labels, strata).where(~base_failed())
@@ -214,6 +190,6 @@ def passing(docs: DataFrame, labels: DataFrame, strata: Sequence[str] = STRATA,
     The signals of labelled documents come first; then each row is measured and judged where it is read, so that no
     text is shuffled.
     """
-    cuts = stage(certified_jointly(_measured(docs), labels, strata, risk, delta), work_path(docs.sparkSession, "quality-cutoffs"))
+    cuts = stage(certified(_measured(docs), labels, strata, risk, delta), work_path(docs.sparkSession, "quality-cutoffs"))
     rows = verdicts(signals(docs), cuts, strata).where("kept and barrier >= 0").select("row")
     return rows.select(*unpacked(rows))
