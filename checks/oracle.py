@@ -695,6 +695,31 @@ sql("snk_batch_manifest", """
 WITH b AS (SELECT c_custkey::BIGINT AS track_id, trunc(c_acctbal * 100)::BIGINT AS cents,
   ((row_number() OVER (ORDER BY c_custkey) - 1) // 50 + 1)::BIGINT AS batch_no FROM customer)
 SELECT track_id, batch_no FROM b WHERE batch_no IN (SELECT batch_no FROM b GROUP BY 1 HAVING sum(cents) > 20000000)""")
+_LEDGER = """
+run AS (SELECT *, row_number() OVER (ORDER BY track_id) - 1 AS track_no,
+  coalesce(sum(CASE WHEN bytes <= {limit} THEN bytes ELSE 0 END) OVER (ORDER BY track_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  sum(CASE WHEN bytes <= {limit} THEN 0 ELSE 1 END) OVER (ORDER BY track_id) AS large FROM size),
+placed AS (SELECT track_id, (CASE WHEN bytes <= {limit} THEN before // {room} ELSE -large END)::BIGINT AS shard, track_no::BIGINT AS track_no,
+  printf('audio/track-%05d.wav', track_no) AS audio_path FROM run)"""
+sql("snk_ledger", f"""WITH {_CONV},
+size AS (SELECT track_id, (sum(n_samples) * 2 + 1044)::BIGINT AS bytes FROM seg GROUP BY 1),
+{_LEDGER.format(limit=524288, room=4194304 - 524288).strip()},
+total AS (SELECT count(DISTINCT track_id) AS n FROM seg)
+SELECT track_id, (CASE WHEN track_id < n // 3 THEN 0 WHEN track_id < n // 2 THEN 2 WHEN track_id < n // 2 + 1 THEN 3 ELSE 4 END)::BIGINT AS batch_no,
+  shard, track_no, audio_path, duration FROM placed JOIN ({flat_rows('cturns')}) USING (track_id), total""")
+sql("snk_replace", f"""WITH {_CONV}, dur AS (SELECT track_id, duration FROM ({flat_rows('cturns')}))
+SELECT track_id, duration, 'former' AS version FROM dur WHERE track_id % 2 = 0 UNION ALL SELECT track_id, duration, 'new' FROM dur""")
+sql("snk_layout", """
+SELECT 'ZSTD' AS codecs, count(DISTINCT conv_id)::BIGINT AS tracks, true AS dictionaries, true AS groups_bounded FROM conversations""")
+sql("src_damaged", """
+SELECT vec_id AS utt_id, label::VARCHAR AS speaker_id, NULL::VARCHAR AS damaged FROM embeddings
+UNION ALL SELECT NULL, NULL, unnest(['truncated: no readable footer', 'other: no readable footer'])""")
+sql("agg_speaker_sketch", f"""
+SELECT count(DISTINCT speaker_id)::BIGINT AS n_exact, count(*)::BIGINT AS n_utterances, true AS within_bound FROM ({EVENTS})""")
+sql("dsp_concat_bucketed", _SQL["dsp_concat"])
+sql("str_published", with_(_DOC, f""", size AS (SELECT track_id, (max(cum_after) * 2 + 1044)::BIGINT AS bytes FROM turns GROUP BY 1),
+{_LEDGER.format(limit=4194304, room=33554432 - 4194304).strip()}
+SELECT track_id, shard, track_no, audio_path, duration, num_speakers FROM placed JOIN ({flat_rows('turns')}) USING (track_id)"""))
 sql("snk_text_default", """
 SELECT conv_id AS track_id, turn, CASE WHEN turn % 2 = 0 THEN text ELSE '' END AS text FROM conversations""")
 sql("scalar_suite", f"""

@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import kernels, rng
 from ..params import TrackParams
-from ..session import by_track
+from ..session import by_track, stage, work_path
 from ..sources.utterances import at_rate, audio_array
 from .labels import has_segment
 from .pools import slot_volume
@@ -140,6 +140,17 @@ def pack_audio(audio: DataFrame) -> DataFrame:
     return ready.mapInArrow(pack, "utt_id bigint, audio binary")
 
 
+def store_bucketed(audio: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store audio as a table, packed and bucketed by ``utt_id``, and return that table.
+
+    Joins on ``utt_id`` then read each bucket where it lies: only the other side is shuffled. Choose as many buckets as a run has shuffle
+    partitions, or a multiple; a bucket should fit a task. The table is replaced where it exists; its files lie in ``path``, or in the warehouse.
+    """
+    writer = pack_audio(audio).repartition(buckets, "utt_id").write.mode("overwrite").format("parquet").bucketBy(buckets, "utt_id").sortBy("utt_id")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return audio.sparkSession.table(table)
+
+
 def cut_slices(piece_rows: DataFrame, audio: DataFrame) -> DataFrame:
     """Fetch the slice of each piece, as packed samples, from packed ``(utt_id, audio)``.
 
@@ -217,8 +228,12 @@ def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFr
 
 
 def build_waveforms(turns: DataFrame, audio: DataFrame, p: TrackParams, noise: bool = True) -> DataFrame:
-    """Turns to waveforms, of the tracks that have all their audio."""
-    piece_rows = pieces(turns, p)
+    """Turns to waveforms, of the tracks that have all their audio.
+
+    The pieces, which carry no audio, are stored once: the audio wanted, the gaps and the slices all follow from them.
+    """
+    spark = turns.sparkSession
+    piece_rows = stage(pieces(turns, p), work_path(spark, "pieces"))
     wanted = wanted_audio(piece_rows, audio, p)
     whole = piece_rows.join(find_gaps(piece_rows, wanted), "track_id", "left_anti")
     return mix_down(cut_slices(whole, pack_audio(wanted)), p, noise)

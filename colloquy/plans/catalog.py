@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -10,12 +12,15 @@ from pyspark.sql import functions as F
 
 from ..functions import audio, kernels, rng
 from ..functions.timing import centis, seconds
-from ..operators import labels, patterns, pools, quality, rows, specs, waveforms
+from ..operators import labels, patterns, pools, quality, rows, sketches, specs, waveforms
 from ..operators.turns import plan_turns
 from ..params import NOISE_TYPES, TrackParams
 from ..session import tune, work_path
-from ..sinks import tables, wav
+from ..sinks import layout, tables, wav
+from ..sinks.ledger import Ledger, audio_paths
+from ..sinks.versions import Versions
 from ..sources import adapters
+from ..sources.tolerant import read_tolerantly
 from ..sources.utterances import at_rate, audio_array, usable
 from ..streaming import incremental
 from .tracks import Plan, generate, plan, run
@@ -116,6 +121,34 @@ def flt_short_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pools.short_or_all(utterances, 2_400)
 
 
+def _damage(spark: SparkSession, folder: str) -> None:
+    """Put a truncated copy of a file, and one that is no table at all, beside the others."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(conf)
+    first = min((f.getPath().toString(), f.getLen()) for f in fs.listStatus(at) if f.getPath().getName().startswith("part-"))
+    source = fs.open(jvm.org.apache.hadoop.fs.Path(first[0]))
+    head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(source, int(first[1]) // 2))
+    source.close()
+    for name, content in (("truncated", head), ("other", b"no table")):
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet"), True)
+        out.write(content)
+        out.close()
+
+
+@query
+def src_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Utterances of a table with damaged files among sound ones, and those files with the reason."""
+    path = work_path(spark, "damaged")
+    waves = adapters.embedding_waves(spark, sf_dir)
+    waves.repartition(6, "utt_id").write.parquet(path)
+    _damage(spark, path)
+    good, bad = read_tolerantly(spark, path, waves.schema)
+    name = F.regexp_extract("file", "([a-z]+)[.]parquet$", 1)
+    return good.select("utt_id", "speaker_id", F.lit(None).cast("string").alias("damaged")).unionByName(
+        bad.select(F.lit(None).cast("bigint").alias("utt_id"), F.lit(None).cast("string").alias("speaker_id"), F.concat(name, F.lit(": "), "reason").alias("damaged")))
+
+
 # --- draws and specifications ----------------------------------------------------------------------
 
 
@@ -365,6 +398,17 @@ def agg_unique_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pools.unique_speakers(adapters.gappy_utterances(spark, sf_dir))
 
 
+@query
+def agg_speaker_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speakers by sketches that eight batches stored, one of them twice, beside the exact number."""
+    utterances, path = adapters.event_utterances(spark, sf_dir), work_path(spark, "sketches")
+    for batch_no in (*range(8), 3):
+        sketches.store_sketches(utterances.where(F.pmod("utt_id", F.lit(8)) == batch_no), path, batch_no)
+    exact = utterances.agg(F.count_distinct("speaker_id").alias("n_exact"))
+    near = F.abs(F.col("n_speakers") - F.col("n_exact")) <= F.ceil(4 * sketches.STANDARD_ERROR * F.col("n_exact"))
+    return sketches.stored_estimate(spark, path).join(exact, F.lit(True)).select("n_exact", "n_utterances", near.alias("within_bound"))  # one row each
+
+
 def _centis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.conversation_segments(spark, sf_dir).withColumn("centis", centis("n_samples", 16_000))
 
@@ -559,6 +603,15 @@ def dsp_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir, PLAIN_WAVES).select("track_id", audio.micro(F.col("audio")).alias("samples"))
 
 
+@query
+def dsp_concat_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``dsp_concat``, from audio stored in buckets by utterance."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = waveforms.store_bucketed(adapters.embedding_waves(spark, sf_dir), f"audio_{uuid.uuid4().hex}", buckets, work_path(spark, "audio"))
+    turns = wave_plan(spark, sf_dir, PLAIN_WAVES).turns
+    return waveforms.build_waveforms(turns, stored, PLAIN_WAVES).select("track_id", audio.micro(F.col("audio")).alias("samples"))
+
+
 @query
 def dsp_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir, OVERLAP_WAVES).select("track_id", audio.micro(F.col("audio")).alias("samples"))
@@ -728,6 +781,53 @@ def snk_batch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.committed_only(batched, commits).select("track_id", "batch_no")
 
 
+@query
+def snk_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks published in five batches, one of them empty and each replayed: shard, number, and file name without gaps."""
+    ledger = Ledger(spark, work_path(spark, "ledger"), 4 << 20)
+    tracks, sizes = _conversation_rows(spark, sf_dir), _conversation_sizes(spark, sf_dir)
+    solvent = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").alias("track_id")).distinct()
+    n = solvent.count()
+    for batch_no, (low, high) in enumerate([(0, n // 3), (n // 3, n // 3), (n // 3, n // 2), (n // 2, n // 2 + 1), (n // 2 + 1, 1 << 62)]):
+        own = (F.col("track_id") >= low) & (F.col("track_id") < high)
+        for _ in range(2):
+            ledger.append(batch_no, tables.to_track_schema(tracks.where(own)), sizes.where(own), width=4_096)
+    ledger.finish()
+    return audio_paths(ledger.read()).select("track_id", "batch_no", "shard", "track_no", "audio_path", "duration")
+
+
+@query
+def snk_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after a job that died while it replaced a table, and after one that did not."""
+    table = Versions(spark, work_path(spark, "versions"))
+    tracks = _conversation_rows(spark, sf_dir).select("track_id", "duration")
+    table.replace(tracks.where(F.col("track_id") % 2 == 0).write.parquet)
+
+    def dies(path: str) -> None:
+        tracks.write.parquet(path)
+        raise InterruptedError
+
+    with contextlib.suppress(InterruptedError):
+        table.replace(dies)
+    former = table.read()
+    table.replace(tracks.write.parquet)
+    return former.withColumn("version", F.lit("former")).unionByName(table.read().withColumn("version", F.lit("new")))
+
+
+@query
+def snk_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codec, dictionaries and row groups of stored tracks, from the files' footers."""
+    path = work_path(spark, "layout")
+    rows_ = _conversation_rows(spark, sf_dir)
+    tables.write_tracks(rows_, path, _conversation_sizes(spark, sf_dir), row_group_bytes=1 << 14)
+    # a writer looks at its size every hundred rows; groups end within that of the limit
+    widest = F.max(F.when(F.col("rows") > 200, F.col("bytes")).otherwise(0))
+    return layout.row_groups(spark, path).agg(
+        F.array_join(F.array_sort(F.collect_set("codecs")), ",").alias("codecs"), F.sum("rows").alias("tracks"),
+        (F.min("dictionary_columns") > 0).alias("dictionaries"), (widest <= 1 << 17).alias("groups_bounded"),
+    )
+
+
 @query
 def snk_text_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = adapters.conversation_turns(spark, sf_dir).withColumn(
@@ -762,6 +862,21 @@ def scalar_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def str_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that arrive in four files, planned batch by batch and published through a ledger."""
+    folder = work_path(spark, "requests")
+    customers = adapters.track_requests(spark, sf_dir).select("track_id")
+    most = customers.agg(F.max("track_id")).scalar()
+    for k in range(4):
+        part = customers.where((F.col("track_id") * 4 >= most * k) & (F.col("track_id") * 4 < (most * (k + 1) if k < 3 else most * 5)))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    requests = incremental.stream_requests(spark, folder, "part-*", "track_id bigint", "track_id", files_per_batch=1)
+    ledger = Ledger(spark, work_path(spark, "published"), 32 << 20)
+    incremental.publish_incrementally(requests, adapters.document_utterances(spark, sf_dir), ledger, work_path(spark, "published-state"), DEFAULT)
+    return audio_paths(ledger.read()).select("track_id", "shard", "track_no", "audio_path", "duration", "num_speakers")
+
+
 @query
 def str_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/customer.parquet").schema

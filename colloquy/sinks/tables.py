@@ -15,6 +15,8 @@ SHARD_MEGABYTES = 100
 BATCH_TRACKS = 50
 COMPRESSION = "zstd"
 COMPRESSION_LEVEL = 9
+#: Row groups are cut by size, so that a reader holds a part of a shard only.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def row_bytes(audio_bytes: Column) -> Column:
@@ -63,7 +65,8 @@ def fill_texts(speakers: Column) -> Column:
 
 
 def write_tracks(
-    tracks: DataFrame, path: str, sizes: DataFrame | None = None, max_megabytes: int = SHARD_MEGABYTES
+    tracks: DataFrame, path: str, sizes: DataFrame | None = None, max_megabytes: int = SHARD_MEGABYTES,
+    row_group_bytes: int = ROW_GROUP_BYTES,
 ) -> DataFrame:
     """Write track rows as one Parquet file per shard, replacing what was there; returns the manifest.
 
@@ -84,6 +87,7 @@ def write_tracks(
         .write.mode("overwrite").partitionBy("shard")
         .option("compression", COMPRESSION)
         .option("parquet.compression.codec.zstd.level", COMPRESSION_LEVEL)
+        .option("parquet.block.size", row_group_bytes)
         .parquet(path)
     )
     return manifest(tracks.sparkSession, path)
