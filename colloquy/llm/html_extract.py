@@ -2,13 +2,18 @@
 
 A page is cut into tags and text; block elements form a tree, inline markup is transparent. Each text block (heading, paragraph,
 list item, cell or bare text of a container) earns points: one, one for each comma, one for each hundred characters up to
-three. Points go to the parent in full, to the grandparent by half, and further up divided by the distance; a container's sum is
+three. Points go to the parent in full, to the grandparent by half, and further up divided by the distance, ``LEVELS`` levels at most; a container's sum is
 reduced by its link density. The best container is kept, and of its siblings those that score a fifth of it or hold
-an unlinked paragraph of some length. Of what is kept, all blocks are given in page order.
+an unlinked paragraph of some length; of equal scores the first counts. Of what is kept, all blocks are given in page order.
 
-Left out with all they hold: navigation, headers and footers of the page, sidebars, forms, scripts, styles and the like by their
-tags; notices, adverts, reader comments and so on by words of class, id or role. An article or main element is never left
-out for its class unless it lies in another one.
+Left out with all they hold: navigation, headers and footers of the page, sidebars, scripts, styles and the like by their
+tags, and hidden elements. Left out by a hint: forms, and notices, adverts, reader comments and so on by words of class, id or role. A name that is such a word counts
+everywhere, a compound one by its first or last part, unless it begins like "has-" or "no-"; in an article compounds count by their last part, or by their first if that names comments, sharing or adverts.
+An article or main element is never left out for its class unless it lies in another one, and a hint does not count on an element that holds an article, or without which
+a tenth of the page's unlinked text would be left at most: then it is a wrapper. Comments, sharing and adverts are wrappers only where nothing else is left.
+
+A page is read in one pass: tags by a scanner that never goes back, open elements by their depth for each name, scores bottom up when the tree is complete. So time grows
+with the page's length, whatever its markup. Quotes count as part of a tag where they are closed before the page ends.
 
 Nulls: null or empty pages have an empty text, as have pages without text. Whole pages are read; unclosed and surplus tags
 are tolerated. Repeated rows are handled one by one; an empty table gives an empty result; other columns are handed on,
@@ -17,6 +22,7 @@ those named like an output are replaced.
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 from collections.abc import Iterator
@@ -34,7 +40,7 @@ INLINE = frozenset(
     "rp rt ruby s samp small source span strike strong sub sup time track tt u var wbr link meta base".split()
 )
 SKIPPED = frozenset(
-    "aside button canvas dialog embed footer form head header iframe menu nav noscript object select svg template textarea "
+    "aside button canvas dialog embed footer head header iframe menu nav noscript object select svg template textarea "
     "audio video script style title math".split()
 )
 RAW_TEXT = frozenset("script style textarea title iframe noscript template svg math".split())
@@ -59,24 +65,28 @@ HINTS = frozenset(
     "overlay pagination pager popup promo promoted promotion related replies reply respond share sharing sidebar signup skip social "
     "sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+#: Beginnings of names that say the contrary, and first parts that count in an article, too.
+CONTRARY = frozenset("has is no non not with without".split())
+IN_ARTICLE = frozenset("ad ads advert adverts advertisement comment comments disqus newsletter share sharing sponsored".split())
 SIBLING_SHARE, LONG_PARAGRAPH = 0.2, 80
+#: Levels that points go up; share of a page's unlinked text without which a hinted element is a wrapper.
+LEVELS, LEFT_OVER = 8, 0.1
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<(?:/?[A-Za-z]|!|\?)[^<]*\Z", re.S,
-)
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_QUOTED_OR_END = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    """A block element: children and text blocks in page order."""
+    """A block element: children and text blocks (text, linked characters) in page order."""
 
-    __slots__ = ("tag", "parent", "items", "points", "chars", "linked", "skipped", "longest")
+    __slots__ = ("tag", "parent", "items", "points", "chars", "linked", "skipped", "hinted", "article", "longest")
 
-    def __init__(self, tag: str, parent: Node | None, skipped: bool) -> None:
-        self.tag, self.parent, self.skipped = tag, parent, skipped
-        self.items: list[Node | str] = []
-        self.points, self.chars, self.linked, self.longest = 0.0, 0, 0, 0
+    def __init__(self, tag: str, parent: Node | None, skipped: bool = False, hinted: int = 0) -> None:
+        self.tag, self.parent, self.skipped, self.hinted = tag, parent, skipped, hinted
+        self.items: list[Node | tuple[str, int]] = []
+        self.points, self.chars, self.linked, self.longest, self.article = 0.0, 0, 0, 0, False
 
     @property
     def score(self) -> float:
@@ -86,51 +96,110 @@ class Node:
         return (self.points + BONUS.get(self.tag, 0.0)) * (1 - self.linked / max(self.chars, 1))
 
 
-def _hinted(rest: str, inside: bool) -> bool:
-    """``inside`` an article, its own header is no header of the page."""
+def _hinted(rest: str, inside: bool) -> tuple[bool, int]:
+    """Whether an element is hidden, and whether its names hint at something else than an article (2: at comments, sharing or adverts);
+    ``inside`` an article, its own header is no header of the page."""
+    hints = HINTS - ({"header"} if inside else set())
+    found = 0
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-            return True
+            return True, found
         if name in ("class", "id", "role"):
-            parts = {part.lower() for part in _PART.findall(value)}
-            if parts & HINTS - ({"header"} if inside else set()):
-                return True
-    return False
+            for token in value.split():
+                parts = [part.lower() for part in _PART.findall(token)]
+                if parts and parts[0] not in CONTRARY:
+                    if parts[-1] in hints or parts[0] in (IN_ARTICLE if inside else hints):
+                        found = max(found, 2 if {parts[0], parts[-1]} & IN_ARTICLE else 1)
+    return False, found
+
+
+class Scanner:
+    """Tags of a page, from left to right: (start, end, name, closing, rest)."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last_end, self.quotes = page, page.rfind(">"), {'"': True, "'": True}
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag; quoted ones don't, while quotes can be trusted."""
+        page, start = self.page, at
+        while self.quotes['"'] or self.quotes["'"]:
+            found = _QUOTED_OR_END.search(page, at)
+            if found is None:
+                self.quotes = dict.fromkeys(self.quotes, False)  # all ends are quoted: they are taken as they come
+                break
+            mark, at = found[0], found.end()
+            if mark == ">":
+                return at - 1
+            if self.quotes[mark]:
+                closed = page.find(mark, at)
+                if closed < 0:
+                    self.quotes[mark] = False
+                else:
+                    at = closed + 1
+        return page.find(">", start)
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """The next piece of markup; a comment or declaration has no name."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0 and start < self.last_end:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, len(page) if end < 0 else end + 3, "", False, ""
+            if page.startswith(("<!", "<?"), start):
+                return start, page.find(">", start) + 1, "", False, ""
+            closing = page.startswith("</", start)
+            name = _NAME.match(page, start + 1 + closing)
+            if name:
+                end = self.tag_end(name.end())
+                return start, end + 1, name[0].lower(), closing, page[name.end() : end]
+            at = start + 1
+        if start >= 0 and page.startswith("<!--", start):
+            return start, len(page), "", False, ""
+        return None
 
 
 class Tree:
+    """The elements of a page; ``path`` are the open ones, ``places`` their depths by name."""
+
     def __init__(self, page: str) -> None:
-        self.root = self.at = Node("html", None, False)
+        self.root = Node("html", None)
+        self.path, self.places = [self.root], {}
         self.text: list[str] = []
         self.in_link, self.linked = False, 0
-        self.in_head = False
         self._read(page)
 
+    @property
+    def at(self) -> Node:
+        return self.path[-1]
+
+    def _depth(self, *names: str) -> int:
+        """Depth of the innermost open element of one of these names; 0 without one."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=0)
+
     def _read(self, page: str) -> None:
-        last, size = 0, len(page)
-        found = _MARKUP.search(page)
-        while found:
-            if found.start() > last:
-                self._add(page[last : found.start()])
-            last = found.end()
-            name = found.group("name")
-            if name:
-                name = name.lower()
-                if found.group("close"):
-                    self._close(name)
-                else:
-                    rest = found.group("rest")
-                    self._open(name, rest)
-                    if name in RAW_TEXT and not rest.endswith("/"):
-                        end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, last)
-                        last = end.start() if end else size
-            found = _MARKUP.search(page, last)
-        self._add(page[last:])
+        scanner, last, size = Scanner(page), 0, len(page)
+        while found := scanner.next(last):
+            start, end, name, closing, rest = found
+            if start > last:
+                self._add(page[last:start])
+            last = end
+            if name and closing:
+                self._close(name)
+            elif name:
+                self._open(name, rest)
+                if name in RAW_TEXT and not rest.endswith("/"):
+                    close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, last)
+                    last = close.start() if close else size
+        tail = page[last:]
+        cut = tail.rfind("<")  # a tag that the page's end cuts off
+        if cut >= 0 and (tail[cut + 1 : cut + 2] in ("!", "?") or _NAME.match(tail, cut + 1 + tail.startswith("/", cut + 1))):
+            tail = tail[:cut]
+        self._add(tail)
         self._flush()
 
     def _add(self, piece: str) -> None:
-        if self.in_head and self.at.tag == "head" and piece.strip():
+        if self.at.tag == "head" and piece.strip():
             self._leave_head()
         if not self.at.skipped:
             self.text.append(piece)
@@ -141,29 +210,11 @@ class Tree:
         if self.text:
             block = " ".join(html.unescape("".join(self.text)).split())
             if block:
-                self._credit(block)
+                self.at.items.append((block, min(self.linked, len(block))))
         self.text, self.linked = [], 0
 
-    def _credit(self, block: str) -> None:
-        node, linked = self.at, min(self.linked, len(block))
-        node.items.append(block)
-        points = 1 + block.count(",") + min(len(block) / 100, 3)
-        bare = node.tag in BONUS or node.tag in PROTECTED
-        above = node if bare else node.parent or node
-        level, up = 0, above
-        while up is not None:
-            up.points += points if level == 0 else points / (2 * level)
-            up, level = up.parent, level + 1
-        up = node
-        while up is not None:
-            up.chars += len(block)
-            up.linked += linked
-            if not linked:
-                up.longest = max(up.longest, len(block))
-            up = up.parent
-
     def _open(self, name: str, rest: str) -> None:
-        if self.in_head and name not in IN_HEAD and name not in ("html", "head"):
+        if name not in IN_HEAD and name not in ("html", "head"):
             self._leave_head()
         if name in INLINE:
             if name == "br":
@@ -175,79 +226,127 @@ class Tree:
         self.in_link = False
         if name in ("html", "body"):
             return
-        if name == "head":
-            self.in_head = True
         if name in NO_PARAGRAPH:
-            self._end("p")
+            self._end("p", self._depth("td", "th", "table", "button"))
         for closed in CLOSES.get(name, ()):
-            self._end(closed, within=("ul", "ol", "table", "dl", "select"))
-        inside = self.at.tag in ("article", "main") or self._within(("article", "main"))
+            self._end(closed, self._depth("ul", "ol", "table", "dl", "select"))
+        inside = self._depth("article", "main") > 0
         skipped = self.at.skipped or name in SKIPPED and not (name == "header" and inside)
-        if not skipped and not (name in PROTECTED and not inside):
-            skipped = _hinted(rest, inside)
+        hinted, article = int(name == "form"), False
+        if not skipped:
+            hidden, hint = _hinted(rest, inside)
+            skipped, hinted = hidden, max(hinted, hint)
+            if name in PROTECTED and not inside:
+                skipped, hinted, article = False, 0, not hint
         if name in VOID or rest.endswith("/") and name not in PROTECTED:
             return
-        node = Node(name, self.at, skipped)
+        node = Node(name, self.at, skipped, hinted)
+        node.article = article
         if not skipped:
             self.at.items.append(node)
-        self.at = node
+        self.places.setdefault(name, []).append(len(self.path))
+        self.path.append(node)
+
+    def _cut(self, depth: int) -> None:
+        """Close the open element at this depth and all in it."""
+        self._flush()
+        for node in self.path[depth:]:
+            self.places[node.tag].pop()
+        del self.path[depth:]
 
     def _leave_head(self) -> None:
         """</head> is optional: what cannot stand in a head ends it. A template or noscript in it keeps what it holds."""
-        node = self.at
-        while node.tag != "head":
-            if node.tag in RAW_TEXT or node.parent is None:
-                return
-            node = node.parent
-        self._flush()
-        self.in_link, self.in_head = False, False
-        self.at = node.parent
-
-    def _within(self, tags: tuple[str, ...]) -> bool:
-        node = self.at
-        while node is not None:
-            if node.tag in tags:
-                return True
-            node = node.parent
-        return False
-
-    def _end(self, name: str, within: tuple[str, ...] = ()) -> None:
-        """Close an open element of this name, if there is one up to its container."""
-        node = self.at
-        while node is not None and node.parent is not None:
-            if node.tag == name:
-                self._flush()
-                self.at = node.parent
-                return
-            if node.tag in within or name == "p" and node.tag in ("td", "th", "table", "button"):
-                return
-            node = node.parent
+        head = self._depth("head")
+        if head and self._depth(*RAW_TEXT) < head:
+            self._cut(head)
+            self.in_link = False
+
+    def _end(self, name: str, beyond: int) -> None:
+        """Close an open element of this name, if there is one deeper than its container."""
+        depth = self._depth(name)
+        if depth > beyond:
+            self._cut(depth)
 
     def _close(self, name: str) -> None:
         if name in INLINE:
             if name == "a":
                 self.in_link = False
-            return
-        if name in ("html", "body"):
-            return
-        node = self.at
-        while node is not None and node.parent is not None:
-            if node.tag == name:
-                self._flush()
-                self.in_link = False
-                self.in_head = self.in_head and name != "head"
-                self.at = node.parent
-                return
-            node = node.parent
+        elif name not in ("html", "body") and (depth := self._depth(name)):
+            self._cut(depth)
+            self.in_link = False
 
 
-def _nodes(root: Node) -> list[Node]:
+def _bottom_up(root: Node) -> list[Node]:
+    """All elements, children before parents."""
     found, stack = [], [root]
     while stack:
         node = stack.pop()
         found.append(node)
+        stack += [x for x in node.items if isinstance(x, Node)]
+    return found[::-1]
+
+
+def _unhint(root: Node) -> None:
+    """Drop hinted elements but for wrappers: those with an article, and the largest ones while little text is left outside."""
+    free, article = {}, {}
+    for node in _bottom_up(root):
+        below = [x for x in node.items if isinstance(x, Node)]
+        free[node] = sum(len(x[0]) - x[1] for x in node.items if not isinstance(x, Node)) + sum(free[x] for x in below)
+        article[node] = node.article or any(article[x] for x in below)
+
+    def outermost(node: Node) -> tuple[int, list[Node]]:
+        """Unlinked characters outside hinted elements, and the outermost of these; articles are let through."""
+        outside, found, stack = 0, [], [node]
+        while stack:
+            for x in stack.pop().items:
+                if not isinstance(x, Node):
+                    outside += len(x[0]) - x[1]
+                elif x.hinted and not article[x]:
+                    found.append(x)
+                else:
+                    x.hinted = 0
+                    stack.append(x)
+        return outside, found
+
+    outside, found = outermost(root)
+    heap = [(x.hinted, -free[x], k, x) for k, x in enumerate(found)]
+    heapq.heapify(heap)
+    k = len(heap)
+    while heap and heap[0][1] and outside <= (LEFT_OVER * free[root] if heap[0][0] == 1 else 0):
+        node = heapq.heappop(heap)[3]
+        more, found = outermost(node)
+        outside += more
+        for x in found:
+            k += 1
+            heapq.heappush(heap, (x.hinted, -free[x], k, x))
+    for *_, node in heap:
+        node.skipped = True
+
+
+def _score(root: Node) -> list[Node]:
+    """All elements that stay, in page order, with points and counts."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        node.items = [x for x in node.items if not (isinstance(x, Node) and x.skipped)]
+        order.append(node)
         stack += [x for x in reversed(node.items) if isinstance(x, Node)]
-    return found
+    for node in reversed(order):
+        bare = node.tag in BONUS or node.tag in PROTECTED
+        for x in node.items:
+            if isinstance(x, Node):
+                node.chars, node.linked, node.longest = node.chars + x.chars, node.linked + x.linked, max(node.longest, x.longest)
+                continue
+            block, linked = x
+            node.chars, node.linked = node.chars + len(block), node.linked + linked
+            if not linked:
+                node.longest = max(node.longest, len(block))
+            points = 1 + block.count(",") + min(len(block) / 100, 3)
+            up, level = node if bare else node.parent or node, 0
+            while up is not None and level < LEVELS:
+                up.points += points if level == 0 else points / (2 * level)
+                up, level = up.parent, level + 1
+    return order
 
 
 def _blocks(node: Node) -> list[str]:
@@ -257,7 +356,7 @@ def _blocks(node: Node) -> list[str]:
         if isinstance(x, Node):
             stack += reversed(x.items)
         else:
-            out.append(x)
+            out.append(x[0])
     return out
 
 
@@ -270,7 +369,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = Tree(page).root
-    best = max(_nodes(root), key=lambda node: node.score)
+    _unhint(root)
+    best = max(_score(root), key=lambda node: node.score)
     if best.score <= 0:
         return ""
     # an article or main element around the best part is the container
