@@ -5,26 +5,26 @@ Rows are numbered from 0 in the order of a hash of their id and text. A keyed Fe
 ``p`` gives ``shard = p mod n_shards`` and ``slot = p div n_shards``, so that shard sizes differ by one row at most,
 slots have no gaps, and the place of a row number is computed without a table.
 
-Numbering needs no total order in one task: the top bits of the hash make buckets of even size, a window numbers
-the rows of a bucket, and the bucket totals are summed up. The number does not depend on the bucket count.
+Numbering needs no total order in one task and no group: rows are dealt by ranges of their hash, sorted within each range and written with
+their place in it; the ranges' totals, one for each shuffle partition, are summed up. Equal rows have one hash and are told apart by their place in the
+input, so that a row repeated for a third of the table is spread over tasks, too. A number does not depend on the ranges.
 
 Nulls: a null id or text is hashed like any other value; a null text counts no bytes. Repeated rows get places of
-their own; which copy gets which does not matter, as they are equal. An empty table gives an empty result. Input
-columns called ``shard`` or ``slot`` are replaced.
+their own; which copy gets which does not matter, as they are equal. Rows of one hash that are not equal go by id, then by a second hash. Texts of any length are hashed as a whole. An
+empty table gives an empty result. Other columns are handed on, packed, so that no name clashes; input columns called ``shard`` or ``slot`` are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.text import hash63, packed, require, unpacked
+from colloquy.session import stage, work_path
 
 SHARDS = 40
 SEED = 20_251
 ROUNDS = 6
-#: Rows of a bucket, about; and the least and most bits of a bucket number.
-BUCKET_ROWS, BUCKET_BITS = 2_048, (8, 26)
 #: Each walk leaves the range with probability under 1/2; a row that has not returned after so many stops the job.
 WALKS = 160
 
@@ -57,17 +57,25 @@ def permuted_within(number: Column, n: int, seed: int = SEED, rounds: int = ROUN
 def numbered(docs: DataFrame, carried: Column, seed: int = SEED) -> tuple[DataFrame, int]:
     """What is carried of each row, with ``number``, its place in hash order, and the number of rows."""
     require(docs, "doc_id", "text")
-    n = docs.count()
-    bits = min(max((n // BUCKET_ROWS).bit_length(), BUCKET_BITS[0]), BUCKET_BITS[1])
-    hashed = docs.select(carried.alias("row"), "doc_id", hash63(F.lit(seed), F.col("doc_id"), F.col("text")).alias("key"))
-    hashed = hashed.withColumn("bucket", F.shiftright("key", 63 - bits))
-    totals = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumnRenamed("bucket", "b")
-    starts = totals.select("b", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    within = F.row_number().over(Window.partitionBy("bucket").orderBy("key", "doc_id"))
-    rows = hashed.withColumn("within", within.cast("bigint")).join(starts, F.col("bucket") == F.col("b"))
-    return rows.select("row", (F.col("start") + F.col("within") - 1).alias("number")), n
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashed = docs.select(
+        carried.alias("row"), "doc_id", hash63(F.lit(seed), F.col("doc_id"), F.col("text")).alias("key"), hash63(F.lit(seed + 1), F.col("text")).alias("key2"),
+        F.monotonically_increasing_id().alias("copy"),
+    )
+    order = ["key", "doc_id", "key2", "copy"]
+    dealt = hashed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # the place of a row is its range and its row in it
+    rows = stage(dealt.select("row", F.monotonically_increasing_id().alias("place")), work_path(spark, "shard-rows"))
+    part = F.shiftright("place", 33)
+    totals = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).orderBy("part").collect()  # one a shuffle partition at most
+    starts, n = [], 0
+    for total in totals:
+        starts.append((total["part"], n))
+        n += total["rows"]
+    begun = spark.createDataFrame(starts, "part bigint, start bigint")
+    numbered_rows = rows.withColumn("p", part).join(F.broadcast(begun), F.col("p") == F.col("part"))
+    return numbered_rows.select("row", (F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("number")), n
 
 
 def _placed(docs: DataFrame, carried: Column, n_shards: int, seed: int) -> DataFrame:
