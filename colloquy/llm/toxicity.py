@@ -11,7 +11,7 @@ is significant if K n e^(-lambda S) <= ``SIGNIFICANT``. A text's score is the lo
 segment, fitted on the labelled texts.
 
 Only labels of rows with crc32(id) mod 5 <> 0 are learnt from: at most ``MAX_LABELLED`` rows, those with the smallest hashes;
-equal texts count once. Everything else covers all rows and whole texts. Neither label nor language, source or id
+equal texts count once. The lexicon, the words of those rows at most, and the bins of the calibration, one a row at most, are bounded by that. Everything else covers all rows and whole texts. Neither label nor language, source or id
 are inputs of a score.
 
 Nulls: a null text is empty; an empty text has the score of a text without lexicon words; labels with a null id or mark are not
@@ -25,7 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from colloquy.llm.text import packed, require, unpacked
 from colloquy.session import ship, stage, work_path
 
-MAX_LABELLED, MAX_LEXICON = 20_000, 50_000
+MAX_LABELLED = 20_000
 PRIOR, MIN_Z = 0.1, 3.0
 SIGNIFICANT = 0.05
 SEED = 20_257
-#: Calibration: least and most value of the normalised segment score, and bins of one unit.
-X_RANGE, X_BINS = (-15.0, 15.0), 4
+#: Calibration: bins of one unit of the normalised segment score.
+X_BINS = 4
 WORD = re.compile(r"[^\W\d_]+")
 
 PASSAGES = "array<struct<start:int,end:int,score:double,e_value:double>>"
@@ -56,11 +56,11 @@ class Model:
     slope: float = 0.0
 
     def normalised(self, best: float, n: int) -> float:
-        x = self.rate * best - math.log(self.k * max(n, 1))
-        return min(max(x, X_RANGE[0]), X_RANGE[1])
+        return self.rate * best - math.log(self.k * max(n, 1))
 
     def probability(self, x: float) -> float:
-        return 1 / (1 + math.exp(-(self.intercept + self.slope * x)))
+        z = self.intercept + self.slope * x
+        return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))  # neither overflows
 
 
 def held_out(doc_id: Column) -> Column:
@@ -135,7 +135,7 @@ def _lexicon(texts: DataFrame) -> tuple[list, int, int]:
     odds = F.log(y_t / (n_t + whole - y_t)) - F.log(y_o / (n_o + whole - y_o))
     z = odds / F.sqrt(1 / y_t + 1 / y_o)
     kept = counts.select("word", "t", "o", odds.alias("s"), z.alias("z")).where(F.col("z") >= MIN_Z)
-    return kept.orderBy(F.col("z").desc(), "word").limit(MAX_LEXICON).collect(), n_t, n_o
+    return kept.orderBy("word").collect(), n_t, n_o
 
 
 def _rate(scores: list[tuple[float, float]], gap: float) -> float:
@@ -211,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         model.k = min(1.0, ((other["found"] or 0) + 1) / max(other["n"] or 1, 1) * math.exp(model.rate * least))
     # bins of the normalised score, of which there are some hundred
     x = F.lit(model.rate) * F.col("best") - F.log(F.lit(model.k) * F.greatest(F.col("n"), F.lit(1)))
-    binned = F.round(F.least(F.greatest(x, F.lit(X_RANGE[0])), F.lit(X_RANGE[1])) * X_BINS) / X_BINS
+    binned = F.round(x * X_BINS) / X_BINS
     bins = found.groupBy(binned.alias("x")).agg(F.count(F.lit(1)).alias("rows"), F.sum("toxic").alias("toxic")).collect()
     bins = sorted((r["x"], float(r["rows"]), float(r["toxic"])) for r in bins)
     rows, toxic = sum(n for _, n, _ in bins), sum(t for _, _, t in bins)
@@ -223,6 +223,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
+def _places(text: str) -> Sequence[int]:
+    """For each character of the lower-case text, the place of the character it comes from; one may become two."""
+    if len(text.lower()) == len(text):
+        return range(len(text))
+    return [i for i, c in enumerate(text) for _ in c.lower()]
+
+
 def passages(text: str, model: Model) -> tuple[float, list[tuple[int, int, float, float]]]:
     """Probability, and the significant passages with their code points."""
     tokens = _tokens(text)
@@ -231,21 +238,18 @@ def passages(text: str, model: Model) -> tuple[float, list[tuple[int, int, float
     kept = []
     if found:
         spans = [m.span() for m in WORD.finditer(text.lower())]
-        same = len(text.lower()) == len(text)
+        place = _places(text)
         for first, last, score in found:
             e_value = model.k * len(tokens) * math.exp(-model.rate * score)
-            if e_value <= SIGNIFICANT and same:
-                kept.append((spans[first][0], spans[last][1], score, e_value))
-            elif e_value <= SIGNIFICANT:
-                kept.append((0, len(text), score, e_value))
+            if e_value <= SIGNIFICANT:
+                kept.append((place[spans[first][0]], place[spans[last][1] - 1] + 1, score, e_value))
     return model.probability(x), kept
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All rows and columns with ``score`` and ``passages`` (code points, score, e-value).
 
-    The model, of at most ``MAX_LEXICON`` words, is broadcast. Where lower case changes the length of a text, its
-    passages are given as the whole text.
+    The model, of at most the words of ``MAX_LABELLED`` rows, is broadcast.
     """
     require(docs, "text")
     spark = docs.sparkSession

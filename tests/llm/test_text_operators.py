@@ -350,3 +350,15 @@ def test_html_edges(spark):
 
 def test_deep_nesting():
     assert html_extract.main_text("<div>" * 5000 + "deep, text") == "deep, text"
+
+
+def test_passages_where_lower_case_is_longer():
+    """Dotted capital I becomes two characters: places are those of the given text."""
+    model = toxicity.Model(lexicon={"vile": 6.0, "awful": 6.0}, gap=0.2, rate=1.0, k=0.1, intercept=-5.0, slope=1.0)
+    text = "İstanbul İ İİ is a plain place " + "but VİLE no " + "you VILE awful " * 3 + "end İ"
+    _, found = toxicity.passages(text, model)
+    assert [text[a:b] for a, b, *_ in found] == ["VILE awful you VILE awful you VILE awful"]
+    weak, strong = (toxicity.passages("you vile awful " * n, model)[0] for n in (20, 40))
+    assert 0.99 < weak < strong <= 1 or weak == strong == 1.0
+    scores = [model.normalised(best, 100) for best in (40.0, 80.0, 4_000.0)]
+    assert scores == sorted(set(scores)) and model.probability(1e6) == 1 and model.probability(-1e6) == 0
