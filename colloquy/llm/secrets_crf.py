@@ -5,9 +5,13 @@ neighbouring words and features of the file; Viterbi decoding gives the best tag
 on the likelihood of tags that the patterns' values give to a bounded sample of stretches (``MAX_STRETCHES`` of either kind with at
 most ``MAX_TOKENS`` tokens, those with the smallest hashes; equal stretches count once).
 
-One pass over the whole texts finds patterns and stretches: some words around each run of at least eight key characters that
-has a digit or twenty characters, or a word that announces a secret before ``=`` or ``:``. Tokens elsewhere have the shape
-of plain words and are outside by definition, so that decoding the stretches decodes the text.
+One pass over the whole texts finds patterns and, for training, stretches: some words around each run of at least eight key characters that
+has a digit or twenty characters, and around each word that announces a secret, in prose or before ``=`` or ``:``. Each value that a pattern finds is also learnt
+in prose, after one of ``ANNOUNCEMENTS``, so that the field does not depend on the marks that patterns need.
+
+A second pass decodes the whole texts. A token is cold if, whatever stands around it, tagging it costs more than any change of tags can gain; a
+sequence of tags over cold tokens alone is then worse than O, and so is one that reaches over more than some number of them (:class:`Bounds`). So decoding the
+tokens around the others, which are few, gives the tags of the whole text. Whether a token is cold after a cue, or else, is worked out once for each word.
 
 Tagged spans that meet no base span are added with kind ``crf``. Positions are code points, ends exclusive. Nulls: a null
 text is empty; rows are scanned one by one, repeated or not, with or without id. Without any base span in the table there
@@ -31,6 +35,8 @@ from colloquy.llm.text import require
 from colloquy.session import ship, stage, work_path
 
 MAX_STRETCHES, MAX_TOKENS = 1_500, 48
+#: Margin of cold tokens; words whose kind a task keeps.
+MARGIN, KEPT_WORDS = 0.5, 400_000
 STEPS, RATE, RIDGE = 60, 0.2, 1e-3
 #: Kinds in the order of listing, and their patterns.
 KINDS = ("assign", "access", "hex", "crf")
@@ -43,11 +49,21 @@ RUN = re.compile(r"[A-Za-z0-9+/_=.-]{8,}")
 ANNOUNCED_HERE = r"(?i)(?:pass|pwd|secret|token|key|auth|credential|bearer)[\w-]*[\"']?\s?[:=]"
 ANNOUNCED = re.compile(ANNOUNCED_HERE, re.A)
 DIGIT = re.compile(r"[0-9]")
+KEY_LIKE = r"[A-Za-z0-9+/_=.-]*[0-9][A-Za-z0-9+/_=.-]{11,}"
 TOKEN = re.compile(r"[\w+/.-]+={0,2}(?![\w+/.-])|[\w+/.-]+|\S")
 BEFORE, AFTER = 48, 24
 #: Words that announce a secret.
 CUES = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api", "auth", "bearer", "credential", "private", "access", "login")
+_CUES = re.compile("|".join(CUES))
+#: Ordinary words of Latin letters.
+PLAIN = re.compile("[A-Z\u00c0-\u00d6\u00d8-\u00de]?[a-z\u00df-\u00f6\u00f8-\u00ff]{1,16}[.]?")
 TAGS = ("O", "B", "I")
+#: How prose announces a secret.
+ANNOUNCEMENTS = (
+    "the password is {} and", "use {} as the token", "log in with the key {} today", "my secret {} still works", "the api key was {}, I think", "sign requests with {} from now on",
+    "send the header Authorization: Bearer {}", "export it as {} first", "das Passwort lautet {} und", "la clave es {} por ahora", "le mot de passe est {} pour tous",
+)
+_CUE_WORD = re.compile(r"(?ai)\b(?:password|passwd|pwd|secret|token|api key|apikey|credential|bearer|login)s?\b")
 
 STRETCH = "array<struct<at:int,text:string,values:array<struct<start:int,end:int>>>>"
 FOUND = f"doc_id long, base array<struct<kind:string,start:int,end:int>>, file array<string>, stretches {STRETCH}"
@@ -73,6 +89,7 @@ def stretches(text: str, values: Sequence[tuple[int, int]]) -> list[tuple[int, s
     seeds = [m.span() for m in RUN.finditer(text) if m.end() - m.start() >= 20 or DIGIT.search(text, *m.span())]
     if "=" in text or ":" in text:
         seeds += [m.span() for m in ANNOUNCED.finditer(text)]
+    seeds += [m.span() for m in _CUE_WORD.finditer(text)]
     joined: list[list[int]] = []
     for start, end in sorted([*seeds, *values]):
         start, end = max(0, start - BEFORE), min(len(text), end + AFTER)
@@ -95,12 +112,11 @@ def stretches(text: str, values: Sequence[tuple[int, int]]) -> list[tuple[int, s
     return out
 
 
-def file_features(text: str, n_stretches: int) -> list[str]:
+def file_features(text: str) -> list[str]:
     """Features of a text that all its tokens share."""
     marks = text.count("=") + text.count(":")
     return [
         f"file:marks={min(4, int(math.log2(1 + marks)))}",
-        f"file:stretches={min(4, int(math.log2(1 + n_stretches)))}",
         f"file:braces={'{' in text or ';' in text}",
         f"file:length={min(5, len(text) // 2000)}",
     ]
@@ -114,7 +130,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = stretches(text, [(a, b) for *_, a, b in base])
             rows.append((
                 doc_id, [{"kind": k, "start": a, "end": b} for k, a, b, _, _ in base],
-                file_features(text, len(found)) if found else [],
+                file_features(text) if found else [],
                 [{"at": at, "text": t, "values": [{"start": a, "end": b} for a, b in inside]} for at, t, inside in found],
             ))
         out = pd.DataFrame(rows, columns=["doc_id", "base", "file", "stretches"])
@@ -208,6 +224,101 @@ def alive_at(batch: list[np.ndarray], order: list[int], t: int, alive: int) -> i
     return alive
 
 
+def _cue(token: str) -> bool:
+    return len(token) < 20 and _CUES.search(token.lower()) is not None
+
+
+class Bounds:
+    """Which tokens a field may tag at all, and how far around them it must be decoded.
+
+    With d(x) the most that tag B or I of token x can gain over O, in any surroundings, a run of tags over x1 … xn gains ``enter + sum d(xi) +
+    (n - 1) step`` at most over O, where ``enter`` and ``step`` come from the tag pairs. It is negative if every d is below both. A run that
+    bridges k such tokens between two others gains less than ending and beginning anew once k MARGIN exceeds ``bridge``.
+    """
+
+    def __init__(self, field: Field) -> None:
+        self.field = field
+        pairs, first = field.pairs, field.first
+        out = pairs[0, 0]
+        enter = max(pairs[0, 1:].max(), first[1:].max() - first[0] + out)
+        step = pairs[1:, 1:].max() - out
+        self.limit = -(max(enter + max(pairs[1:, 0].max(), out) - 2 * out, step) + MARGIN)
+        bridge = pairs[1:, 1:].max() + out - pairs[1:, 0].min() - pairs[0, 1:].min()
+        self.reach = max(int(bridge / MARGIN) + 1, 1)
+        gain = {f: field.weights[i, 1:] - field.weights[i, 0] for f, i in field.index.items()}
+        none = np.zeros(2)
+        self._gain = gain
+
+        def best(*prefixes: str) -> np.ndarray:
+            """The most that one feature of each prefix adds."""
+            return sum((np.max([none, *[g for f, g in gain.items() if f.startswith(p)]], axis=0) for p in prefixes), none)
+
+        self._around = best("mark=", "before=", "after=")
+        self._cued = best("cue+mark") + np.maximum(gain.get("cue", none), 0)
+        self._files = {kinds: best(*[f"{kinds}&file:{name}=" for name in ("marks", "braces", "length")]) for kinds in {f.split("&")[0] for f in gain if "&" in f}}
+        self._tokens: dict[str, tuple[bool, bool]] = {}
+        # ordinary words by capital, full stop and length: cold if every shape that such a word can have is
+        self._plain = {(upper, dot, n) for upper in (False, True) for dot in (False, True) for n in range(1, 19) if self._cold(upper, dot, n)}
+        self._marks = frozenset(m for m in ",;:!?" if not any(self.token(m)))
+
+    def _cold(self, upper: bool, dot: bool, n: int) -> bool:
+        none, kinds = np.zeros(2), "kinds=" + "l" + "o" * dot + "u" * upper
+        kinds = "kinds=" + "".join(sorted(kinds.removeprefix("kinds=")))
+        fixed = ["bias", kinds, *[f"length>{k}" for k in (4, 8, 12, 16) if n > k], *(["dots=1"] if dot else [])]
+        ends = sum((self._gain.get(f, none) for f in fixed), self._around)
+        if n >= 8 and len(kinds) > len("kinds=l"):
+            ends = ends + self._files.get(kinds, none) + np.maximum(self._gain.get(f"cue+{kinds}", none), 0)
+        ends = ends + self._cued
+        steps = [k for k in (2, 3, 3.5, 4) if k < math.log2(max(n, 2)) + 1e-9]
+        spread = [sum((self._gain.get(f"bits>{k}", none) for k in steps[:i]), none) for i in range(len(steps) + 1)]
+        hexes = [none, self._gain.get("hex", none)] if not upper and not dot and n > 5 else [none]
+        return all((ends + s + h).max() < self.limit for s in spread for h in hexes)
+
+    def plain(self, token: str) -> bool:
+        """Whether it is an ordinary word that is never tagged."""
+        return (token[0].isupper(), token[-1] == ".", len(token)) in self._plain and PLAIN.fullmatch(token) is not None
+
+    def token(self, token: str) -> tuple[bool, bool]:
+        """Whether it may be tagged without a cue before it, and with one."""
+        if self.plain(token):
+            return False, False
+        known = self._tokens.get(token)
+        if known is None:
+            if len(self._tokens) > KEPT_WORDS:
+                self._tokens.clear()
+            none, shape = np.zeros(2), _shape(token)
+            plain = sum((self._gain.get(f, none) for f in ("bias", *shape)), none) + self._around
+            cued = self._cued.copy()
+            if len(token) >= 8 and len(shape[0]) > len("kinds=l"):
+                plain = plain + self._files.get(shape[0], none)
+                cued += np.maximum(self._gain.get(f"cue+{shape[0]}", none), 0)
+            known = self._tokens[token] = (bool(plain.max() >= self.limit), bool((plain + cued).max() >= self.limit))
+        return known
+
+    def word(self, word: str) -> int:
+        """1: has a token that may be tagged anywhere; 2: has a cue."""
+        if self.plain(word) or len(word) > 1 and word[-1] in self._marks and self.plain(word[:-1]):
+            return 2 * _cue(word)
+        tokens = TOKEN.findall(word)
+        return (1 if any(self.token(t)[0] for t in tokens) else 0) | (2 if any(map(_cue, tokens)) else 0)
+
+    def windows(self, tokens: list[str]) -> list[tuple[int, int]]:
+        """Ranges of tokens outside which all are O."""
+        out: list[tuple[int, int]] = []
+        last_cue = -6
+        for i, t in enumerate(tokens):
+            plain, cued = self.token(t)
+            if plain or cued and i - last_cue <= 5:
+                low, high = max(0, i - self.reach - 6), i + self.reach + 7
+                if out and low <= out[-1][1]:
+                    out[-1] = (out[-1][0], high)
+                else:
+                    out.append((low, high))
+            if _cue(t):
+                last_cue = i
+        return out
+
+
 def _tags(tokens: list[re.Match], values: list[tuple[int, int]]) -> list[int]:
     """B for the first token that meets a value, I for its further ones; O else."""
     tags, ends = [0] * len(tokens), -1
@@ -285,8 +396,8 @@ def fit(found: DataFrame) -> Field | None:
     """Learn from a bounded sample of the stretches; None without base spans."""
     every = found.select("file", F.explode("stretches").alias("s")).select("file", "s.text", "s.values")
     every = every.where(F.length("text") <= MAX_TOKENS * 8).withColumn("h", F.xxhash64("text")).withColumn("secret", F.size("values") > 0)
-    # announced like a secret, but of no listed kind: neither an example nor a counter-example
-    every = every.where(F.col("secret") | ~F.col("text").rlike(ANNOUNCED_HERE))
+    # announced like a secret, but of no listed kind, or with something key-like: neither an example nor a counter-example
+    every = every.where(F.col("secret") | ~(F.col("text").rlike(ANNOUNCED_HERE) | F.col("text").rlike(KEY_LIKE)))
     once = every.groupBy("h", "secret").agg(F.min(F.struct("text", "values", "file")).alias("s"))
     once = stage(once.select("h", "secret", "s.*"), work_path(found.sparkSession, "secret-sample"))
     sample = []
@@ -295,55 +406,78 @@ def fit(found: DataFrame) -> Field | None:
         if secret and not some:
             return None
         sample += [(r["text"], [(v["start"], v["end"]) for v in r["values"]], r["file"]) for r in some]
+    sample += [prose for k, x in enumerate(sample) for prose in _in_prose(k, *x)]
     return train([x for x in sample if sum(1 for _ in TOKEN.finditer(x[0])) <= MAX_TOKENS])
 
 
-def tagged(field: Field | None, rows: Sequence[Sequence[tuple[int, str]]], files: Sequence[Sequence[str]]) -> list[list[tuple[int, int]]]:
-    """Spans that the field tags in each row's stretches."""
-    if field is None:
-        return [[] for _ in rows]
-    places, batch = [], []
-    for r, (pieces, file) in enumerate(zip(rows, files)):
-        for at, text in pieces:
-            tokens = list(TOKEN.finditer(text))
-            if tokens:
-                places.append((r, at, tokens))
-                batch.append(field.emissions([m[0] for m in tokens], file))
-    out: list[list[tuple[int, int]]] = [[] for _ in rows]
-    for (r, at, tokens), tags in zip(places, field.decode(batch) if batch else []):
-        open_at = None
-        for i, m in enumerate(tokens):
-            if tags[i] == 1 or tags[i] == 2 and open_at is None:
-                out[r].append((at + m.start(), at + m.end()))
-                open_at = i
-            elif tags[i] == 2:
-                out[r][-1] = (out[r][-1][0], at + m.end())
-            else:
-                open_at = None
+def _in_prose(k: int, text: str, values: list[tuple[int, int]], file: list[str]) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
+    """The first value of a stretch after an announcement in prose, in a file of prose."""
+    for a, b in values[:1]:
+        before, after = ANNOUNCEMENTS[k % len(ANNOUNCEMENTS)].split("{}")
+        yield before + text[a:b] + after, [(len(before), len(before) + b - a)], file_features("plain text")
+
+
+def whole_text(bounds: Bounds, kinds: dict[str, int], text: str) -> list[list[re.Match]]:
+    """The stretches of tokens to decode, so that all other tokens are known to be O; ``kinds`` are those of words seen before."""
+    words = text.split()
+    found = list(map(kinds.get, words))
+    if None in found:
+        if len(kinds) > KEPT_WORDS:
+            kinds.clear()
+        new = {w for w, k in zip(words, found) if k is None} if kinds else set(words)
+        kinds.update((w, bounds.word(w)) for w in new)
+        found = [kinds[w] for w in words]
+        for w in new:
+            if len(w) > 64:
+                del kinds[w]
+    if not any(found):
+        return []
+    tokens = list(TOKEN.finditer(text))
+    return [tokens[a:b] for a, b in bounds.windows([m[0] for m in tokens])]
+
+
+def decoded(field: Field, texts: Sequence[str]) -> list[list[tuple[int, int]]]:
+    """Spans that the field tags in each whole text."""
+    bounds, kinds = Bounds(field), {}
+    return [_spans(field, bounds, kinds, text) for text in texts]
+
+
+def _spans(field: Field, bounds: Bounds, kinds: dict[str, int], text: str) -> list[tuple[int, int]]:
+    parts = whole_text(bounds, kinds, text)
+    if not parts:
+        return []
+    file = file_features(text)
+    out: list[tuple[int, int]] = []
+    for tokens, tags in zip(parts, field.decode([field.emissions([m[0] for m in part], file) for part in parts])):
+        inside = False
+        for m, tag in zip(tokens, tags):
+            if tag == 2 and inside:
+                out[-1] = (out[-1][0], m.end())
+            elif tag:
+                out.append(m.span())
+            inside = tag > 0
     return out
 
 
-def _decoded(field: Field | None):
+def _found(field: Field | None):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bounds, kinds = Bounds(field) if field else None, {}
         for pdf in batches:
-            pieces = [[(s["at"], s["text"]) for s in row] for row in pdf["stretches"]]
-            found = tagged(field, pieces, pdf["file"])
             spans = []
-            for base, own in zip(pdf["base"], found):
-                taken = [(b["kind"], b["start"], b["end"]) for b in base]
-                own = [(a, b) for a, b in own if not any(a < e and s < b for _, s, e in taken)]
+            for text in pdf["text"]:
+                taken = [(kind, a, b) for kind, a, b, *_ in base_spans(text)]
+                own = [x for x in _spans(field, bounds, kinds, text) if not any(x[0] < e and s < x[1] for _, s, e in taken)] if field else []
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in sorted(
                     [*taken, *(("crf", a, b) for a, b in own)], key=lambda x: (x[1], KINDS.index(x[0])))])
-            out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "spans": spans})
-            yield out
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "spans": spans})
     return of
 
 
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, spans): all spans of each row, by start."""
-    found = scanned(docs)
-    field = fit(found)
-    return found.mapInPandas(_decoded(field), "doc_id long, spans array<struct<kind:string,start:int,end:int>>")
+    field = fit(scanned(docs))
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return rows.mapInPandas(_found(field), "doc_id long, spans array<struct<kind:string,start:int,end:int>>")
 
 
 def report(docs: DataFrame) -> DataFrame:
