@@ -1,6 +1,6 @@
 """Licence scan by a positional rare-token index.
 
-The index has a posting (word, template, position) for each word of the licence notices below, stop words left out. One pass over
+The index has a posting (word, template, position) for each word of the licence texts and notices below, stop words left out. One pass over
 the texts keeps the places of indexed words, and the places of key phrases, found at their rarest word. Document
 frequencies over all documents give each indexed word its IDF. For each template the ``RAREST`` words of highest
 IDF that a file has are looked up; a posting at position q for a word at place p votes for the template to start at p - q.
@@ -10,7 +10,7 @@ mandatory phrases of the template stand within ``SLACK`` words of their place.
 The base labels are verified phrases of the same index; the method adds the labels of templates.
 
 The score is 1 with a base label, else the best support of a verified template, else half the best support of an unverified
-one. Nulls: a null text is empty. Rows are scanned one by one, repeated or not, with null ids or not. An empty table gives
+one. Ties of IDF go by the word, and of equally supported starts each is checked. Texts of any length are scanned as a whole. Nulls: a null text is empty. Rows are scanned one by one, repeated or not, with null ids or not. An empty table gives
 an empty result. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -56,14 +56,68 @@ NOTICES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
      ("for any purpose with or without fee is hereby granted",)),
     ("unlicense", "This is free and unencumbered software released into the public domain",
      ("free and unencumbered software released into the public domain",)),
+    # whole texts
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+     (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+     distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+     following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+     Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+     MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
+     DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE
+     USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+     ("permission is hereby granted free of charge", "shall be included in all copies or substantial portions of the software")),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are
+     met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions
+     in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+     materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+     promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+     CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+     A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+     ("redistributions of source code must retain the above copyright notice", "redistributions in binary form must reproduce the above copyright notice")),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the
+     above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+     REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+     DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+     NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+     ("for any purpose with or without fee is hereby granted", "appear in all copies")),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages
+     arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to
+     alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not
+     claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated
+     but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This
+     notice may not be removed or altered from any source distribution.""",
+     ("the origin of this software must not be misrepresented", "altered source versions must be plainly marked as such")),
+    ("apache", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may
+     obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
+     distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License
+     for the specific language governing permissions and limitations under the License.""",
+     ("apache license", "unless required by applicable law or agreed to in writing")),
+    ("gpl", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the
+     Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be
+     useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
+     License for more details. You should have received a copy of the GNU General Public License along with this program.""",
+     ("under the terms of the gnu general public license", "you should have received a copy of the gnu general public license")),
+    ("mpl", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file,
+     You can obtain one at http://mozilla.org/MPL/2.0/.""", ("mozilla public license", "if a copy of the mpl was not distributed with this file")),
+    ("boost", """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation
+     covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of
+     the Software, and to permit third-parties to whom the Software is furnished to do so""",
+     ("any person or organization obtaining a copy of the software and accompanying documentation",)),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or
+     distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+     ("free and unencumbered software released into the public domain", "either in source code form or as a compiled binary")),
 )
 #: Words that are not indexed.
 STOP = frozenset("a an and any are as at be by can for from in is it may not of on or that the this to was which with you".split())
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+#: A-Z only: other letters are no licence words, whatever their lower case.
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
 def split_words(text: str) -> list[str]:
-    return [w for w in re.split(BREAK, text.lower()) if w]
+    return [w for w in re.split(BREAK, text.translate(LOWER)) if w]
 
 
 PHRASES = tuple(dict.fromkeys([p for p, _ in BASE] + [p for _, _, needed in NOTICES for p in needed]))
@@ -71,7 +125,8 @@ VOCABULARY = tuple(sorted({w for _, notice, _ in NOTICES for w in split_words(no
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BREAK), "")
+    lower = F.translate(F.coalesce(text, F.lit("")), "".join(map(chr, LOWER)), "".join(map(chr, LOWER.values())))
+    return F.array_remove(F.split(lower, BREAK), "")
 
 
 def _anchor(phrase: list[str]) -> int:
@@ -146,9 +201,15 @@ def matches(index: DataFrame) -> DataFrame:
     voted = voted.where(F.col("support") >= SUPPORT)
 
     asked = voted.join(F.broadcast(needs), F.col("template") == F.col("n_template"))
-    places = index.select(F.col("rid").alias("p_rid"), F.explode("places").alias("p")).select("p_rid", "p.phrase", F.col("p.start").alias("p_start"))
-    near = F.abs(F.col("p_start") - F.col("start") - F.col("n_q")) <= SLACK
-    met = asked.join(places, (F.col("rid") == F.col("p_rid")) & (F.col("n_phrase") == F.col("phrase")) & near, "left")
+    # by stretches of the file, two of which at most hold the places looked for, so that a notice repeated over and over meets its own places only
+    wide = 2 * SLACK + 1
+    due = F.col("start") + F.col("n_q")
+    asked = asked.withColumn("stretch", F.explode(F.sequence(F.floor((due - SLACK) / wide), F.floor((due + SLACK) / wide))))
+    places = index.select(F.col("rid").alias("p_rid"), F.explode("places").alias("p")).select(
+        "p_rid", "p.phrase", F.col("p.start").alias("p_start"), F.floor(F.col("p.start") / wide).alias("p_stretch"))
+    near = F.abs(F.col("p_start") - due) <= SLACK
+    same = (F.col("rid") == F.col("p_rid")) & (F.col("n_phrase") == F.col("phrase")) & (F.col("stretch") == F.col("p_stretch"))
+    met = asked.join(places, same & near, "left")
     checked = met.groupBy("rid", "template", "start", "support", "label", "needed").agg(
         F.size(F.collect_set(F.when(F.col("p_rid").isNotNull(), F.col("n_phrase")))).alias("met"),
     )
