@@ -11,6 +11,8 @@ from colloquy.llm import (
     clustering, decontaminate, html_extract, licenses, mixing, oracle, packing, prefix_trie, quality, secrets_crf, sharding, simhash, toxicity, urls,
 )
 
+from colloquy.session import settled
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,7 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document."""
-    return secrets_crf.report(_table(spark, sf_dir, "documents"))
+    return settled(spark, "secrets", lambda: secrets_crf.report(_table(spark, sf_dir, "documents")))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document."""
-    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return settled(spark, "toxicity", lambda: toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,12 +61,12 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels of each document."""
-    return licenses.report(_table(spark, sf_dir, "documents"))
+    return settled(spark, "licenses", lambda: licenses.report(_table(spark, sf_dir, "documents")))
 
 
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of each document."""
-    return sharding.report(_table(spark, sf_dir, "documents"))
+    return settled(spark, "shards", lambda: sharding.report(_table(spark, sf_dir, "documents")))
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
