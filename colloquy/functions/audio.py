@@ -46,28 +46,6 @@ def limit_peak(audio: Column, limit: float = 1.0) -> Column:
     return F.when(top > F.lit(limit), F.transform(audio, lambda x: x / top)).otherwise(audio)
 
 
-def mix(first: Column, second: Column) -> Column:
-    """Mean of two equally long waveforms, peak limited."""
-    return limit_peak(F.zip_with(first, second, lambda x, y: (x + y) / 2.0))
-
-
-def overlap_tail(previous: Column, following: Column, percent: Column) -> Column:
-    """The previous waveform with its last part replaced by the mean with the next one's start."""
-    shared = F.least(
-        (F.size(previous) * percent).cast("int"), F.size(previous), F.size(following)
-    )
-    kept = F.size(previous) - shared
-    tail = F.zip_with(
-        F.slice(previous, kept + 1, shared), F.slice(following, F.lit(1), shared), lambda x, y: (x + y) / 2.0
-    )
-    return F.concat(F.slice(previous, F.lit(1), kept), tail)
-
-
-def concat(chunks: Column) -> Column:
-    """Join ``array<struct<order, chunk>>`` in order."""
-    return F.flatten(F.transform(F.array_sort(chunks), lambda c: c["chunk"]))
-
-
 def snr_scale(signal: Column, noise: Column, snr_db: Column) -> Column:
     """Factor that brings the noise to the wanted ratio; null if the noise is silent."""
     wanted = power(signal) / F.pow(F.lit(10.0), snr_db / 10.0)

@@ -62,17 +62,6 @@ def wide_nth(many: Column, i: Column) -> Column:
     return wide_lane(F.element_at(many, (F.floor(i / WIDE_LANES) + 1).cast("int")), (i % WIDE_LANES).cast("int"))
 
 
-def digests(seed: int, purpose: str, count: int, *keys: Column | str) -> Column:
-    """Enough digests for ``count`` draws per row, as an array; read it with ``nth``."""
-    blocks = F.sequence(F.lit(0), F.lit((count - 1) // LANES))
-    return F.transform(blocks, lambda b: digest(seed, purpose, *keys, b))
-
-
-def nth(many: Column, i: Column) -> Column:
-    """Draw number ``i`` of an array of digests."""
-    return lane(F.element_at(many, (F.floor(i / LANES) + 1).cast("int")), (i % LANES).cast("int"))
-
-
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it any number of times in ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)
