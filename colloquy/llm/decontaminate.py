@@ -8,7 +8,10 @@ ones; Spark broadcasts those if they are below its threshold and shuffles both s
 
 Names are found by capitals, which a text in capitals or in lower case does not have. So a second set of windows ignores case:
 all words lower case, names among them, and only numbers and units replaced. Windows of either kind match, and tokens are alike if either form is.
-White space counts as one blank before names are looked for.
+Up to 64 characters of white space count as one blank where names are looked for.
+
+A text is tokenised once: names carry a mark before their lower-case form, from which both forms follow. Tokens are hashed once, and windows
+of 8 are joined from those of 4, 2 and 1.
 
 Each match votes for an alignment (document, item, shift). The alignments of a document and an item together must
 cover ``COVERAGE`` of the item's tokens. They are then read again from the text: at an alignment the item's placeholders
@@ -43,53 +46,78 @@ NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
     "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half third quarter twice double triple"
 ).split()
-#: Placeholders: characters for private use, which are blanked in texts.
-NUMBER, NAME, UNIT = "", "", ""
-RAW = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}]+"
-#: A capitalised word after a blank that follows a letter, digit or comma: not the start of a sentence.
-NAME_IN_TEXT = r"(?<=[\p{L}\p{M}\p{N},;:] )\p{Lu}[\p{L}\p{M}]*+"
-NUMBER_IN_TEXT = r"\p{N}+(?:[.,]\p{N}+)*+"
+#: Placeholders: characters for private use, which count as blanks in texts.
+NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
+NUMERAL = r"\p{N}+(?:[.,]\p{N}+)*"
+RAW = NUMERAL + r"|[\p{L}\p{M}]+"
+#: A capitalised word after blanks that follow a letter, digit or comma: not the start of a sentence. The capital is looked for first.
+NAME_IN_TEXT = "\\p{Lu}(?<=[\\p{L}\\p{M}\\p{N},;:][\\s\\p{Z}]{1,64}\\p{Lu})[\\p{L}\\p{M}]*+"
 
 
 def _plain(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), "[-]", " ")
+    """The text without placeholders of its own, which are blanked."""
+    whole = F.coalesce(text, F.lit(""))
+    own = F.contains(whole, F.lit(NUMBER)) | F.contains(whole, F.lit(NAME)) | F.contains(whole, F.lit(UNIT))
+    return F.when(own, F.regexp_replace(whole, f"[{NUMBER}{NAME}{UNIT}]", " ")).otherwise(whole)
 
 
 def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(_plain(text), F.lit(RAW), F.lit(0))
 
 
-def _typed(text: Column) -> Column:
-    """Tokens of a text whose names are replaced already or not at all. Numbers are replaced in the whole text, single words by look-up."""
-    replaced = F.lower(F.regexp_replace(text, NUMBER_IN_TEXT, NUMBER))
-    found = F.regexp_extract_all(replaced, F.lit("[%s%s%s]|[\\p{L}\\p{M}]+" % (NUMBER, NAME, UNIT)), F.lit(0))
-    return F.transform(
-        found, lambda w: F.when(w.isin(*NUMBER_WORDS), F.lit(NUMBER)).when(w.isin(*UNITS), F.lit(UNIT)).otherwise(w),
-    )
+def marked_tokens(text: Column) -> Column:
+    """The raw tokens in lower case, names after the mark ``NAME``."""
+    return F.regexp_extract_all(F.lower(F.regexp_replace(_plain(text), NAME_IN_TEXT, f"{NAME}$0")), F.lit(f"{NAME}?[\\p{{L}}\\p{{M}}]+|{NUMERAL}"), F.lit(0))
+
+
+def _typed(word: Column) -> Column:
+    """Placeholder of a number or unit; numerals beyond ASCII are looked at closely where a word begins beyond ASCII."""
+    numeral = (word >= "0") & (word < ":") | (word > "\x7f") & word.rlike(r"^\p{N}")
+    return F.when(numeral | word.isin(*NUMBER_WORDS), F.lit(NUMBER)).when(word.isin(*UNITS), F.lit(UNIT)).otherwise(word)
 
 
-def canonical_tokens(text: Column) -> Column:
-    """One for each raw token."""
-    return _typed(F.regexp_replace(F.regexp_replace(_plain(text), r"[\s\p{Z}]+", " "), NAME_IN_TEXT, NAME))
+def _named(token: Column) -> Column:
+    return F.startswith(token, F.lit(NAME))
 
 
-def caseless_tokens(text: Column) -> Column:
-    """One for each raw token; names stay words."""
-    return _typed(_plain(text))
+def canonical(token: Column) -> Column:
+    """Form of a marked token with names as placeholders."""
+    return F.when(_named(token), F.lit(NAME)).otherwise(_typed(token))
 
 
-def _windows(canonical: str, length: int) -> Column:
-    """Hashes of all windows, in order."""
-    tokens = F.col(canonical)
+def caseless(token: Column) -> Column:
+    """Form of a marked token with names as words."""
+    return F.when(_named(token), _typed(F.substring(token, 2, 1 << 30))).otherwise(_typed(token))
 
-    def hashed(word: Column, i: Column) -> Column:
-        return F.xxhash64(F.lit(length), word, *[F.get(tokens, i + k) for k in range(1, length)])
 
-    return F.transform(F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (length - 1), F.lit(0))), hashed)
+def _windows(rows: DataFrame, hashes: str, length: int, name: str) -> DataFrame:
+    """Adds the hashes of all windows of an array of token hashes, in order: joined from halves, a step a column, so that each is computed once."""
+    blocks, bit = {1: hashes}, 1
+    later = lambda column, k: F.slice(column, F.lit(k + 1), F.size(column))
+    joined = lambda a, b: F.xxhash64(a, b)
+    while 2 * bit <= length:
+        rows = rows.withColumn(f"{name}_{2 * bit}", F.zip_with(blocks[bit], later(blocks[bit], bit), joined))
+        bit *= 2
+        blocks[bit] = f"{name}_{bit}"
+    whole, done = F.col(blocks[bit]), bit
+    for part in (4, 2, 1):
+        if part < bit and length & part:
+            whole, done = F.zip_with(whole, later(blocks[part], done), joined), done + part
+    return rows.withColumn(name, F.slice(whole, F.lit(1), F.greatest(F.size(hashes) - (length - 1), F.lit(0))))
 
 
-def _forms(canonical: str, caseless: str) -> list[Column]:
-    return [canonical_tokens(F.col("text")).alias(canonical), caseless_tokens(F.col("text")).alias(caseless)]
+def windowed(tokenised: DataFrame, lengths: list[int]) -> DataFrame:
+    """The other columns of a table with ``marked`` and, for each window, ``length``, ``at`` and its hashes ``x`` (canonical) and ``y`` (caseless)."""
+    others = [c for c in tokenised.columns if c != "marked"]
+    rows = tokenised.withColumn("cs", F.transform("marked", lambda w: F.xxhash64(canonical(w))))
+    rows = rows.withColumn("ls", F.zip_with("marked", "cs", lambda w, c: F.when(_named(w), F.xxhash64(caseless(w))).otherwise(c)))
+    for length in lengths:
+        rows = _windows(_windows(rows, "cs", length, f"x{length}"), "ls", length, f"y{length}")
+    if len(lengths) == 1:
+        both = F.arrays_zip(F.col(f"x{lengths[0]}").alias("x"), F.col(f"y{lengths[0]}").alias("y"))
+        return rows.select(*others, F.lit(lengths[0]).alias("length"), F.posexplode(both).alias("at", "z")).select(*others, "length", "at", "z.x", "z.y")
+    every = F.concat(*[F.zip_with(f"x{n}", F.transform(f"y{n}", lambda y, i: F.struct(F.lit(n).alias("length"), i.alias("at"), y.alias("y"))), lambda x, r: r.withField("x", x)) for n in lengths])
+    return rows.select(*others, F.explode(every).alias("z")).select(*others, "z.length", "z.at", "z.x", "z.y")
 
 
 def templates(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -97,18 +125,17 @@ def templates(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     require(benchmark, "item_id", "text")
     spark = benchmark.sparkSession
     unique = benchmark.where(F.col("text").isNotNull()).groupBy("text").agg(F.min("item_id").alias("item_id"))
-    items = unique.select("item_id", raw_tokens(F.col("text")).alias("raw"), *_forms("canonical", "caseless"))
-    items = stage(items.withColumn("item_tokens", F.size("canonical")).where("item_tokens > 0"), work_path(spark, "bench-items"))
-    made = None
-    for length in range(LITERALS, WINDOW + 1):
-        fits = F.col("item_tokens") >= WINDOW if length == WINDOW else F.col("item_tokens") == length
-        for form in ("canonical", "caseless"):
-            some = items.where(fits).select("item_id", form, F.posexplode(_windows(form, length)).alias("at", "h"))
-            literal = F.filter(F.slice(form, F.col("at") + 1, length), lambda w: ~w.isin(NUMBER, NAME, UNIT))
-            some = some.where(F.size(literal) >= LITERALS).select("item_id", F.lit(length).alias("length"), "at", "h")
-            made = some if made is None else made.unionByName(some)
-    made = made.distinct()
-    return items, stage(made, work_path(spark, "bench-windows"))
+    items = unique.select("item_id", raw_tokens(F.col("text")).alias("raw"), marked_tokens(F.col("text")).alias("marked"))
+    items = items.select("item_id", "raw", "marked", F.transform("marked", canonical).alias("canonical"), F.transform("marked", caseless).alias("caseless"))
+    items = stage(items.withColumn("item_tokens", F.size("marked")).where("item_tokens > 0"), work_path(spark, "bench-items"))
+    fits = F.when(F.col("item_tokens") >= WINDOW, F.col("length") == WINDOW).otherwise(F.col("item_tokens") == F.col("length"))
+    made = windowed(items.select("item_id", "canonical", "caseless", "item_tokens", "marked"), list(range(LITERALS, WINDOW + 1))).where(fits)
+
+    def literal(form: str) -> Column:
+        return F.size(F.filter(F.slice(form, F.col("at") + 1, F.col("length")), lambda w: ~w.isin(NUMBER, NAME, UNIT))) >= LITERALS
+
+    either = [made.where(literal(form)).select("item_id", "length", "at", F.col(h).alias("h")) for form, h in (("canonical", "x"), ("caseless", "y"))]
+    return items, stage(either[0].unionByName(either[1]).distinct(), work_path(spark, "bench-windows"))
 
 
 def _covered(starts: Column) -> Column:
@@ -130,16 +157,13 @@ def candidates(docs: DataFrame, items: DataFrame, windows: DataFrame) -> DataFra
     """(doc_id, th, item_id, covered, shifts) of the pairs whose windows cover enough of the item."""
     spark = docs.sparkSession
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most WINDOW values
-    tokenised = docs.select(*_keys(docs), *_forms("canonical", "caseless"))
-    made = None
-    for length in lengths:
-        both = F.arrays_zip(_windows("canonical", length).alias("x"), _windows("caseless", length).alias("y"))
-        some = tokenised.select("doc_id", "th", F.posexplode(both).alias("pos", "z"))
+    if lengths:
+        made = windowed(docs.select(*_keys(docs), marked_tokens(F.col("text")).alias("marked")), lengths)
         # windows without names are the same in both forms
-        some = some.select("doc_id", "th", "pos", F.explode(F.array_distinct(F.array("z.x", "z.y"))).alias("h"))
-        made = some if made is None else made.unionByName(some)
-    if made is None:
-        made = tokenised.select("doc_id", "th", F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("h")).limit(0)
+        either = F.when(F.col("x") == F.col("y"), F.array("x")).otherwise(F.array("x", "y"))
+        made = made.select("doc_id", "th", F.col("at").alias("pos"), F.explode(either).alias("h"))
+    else:
+        made = docs.select(*_keys(docs), F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("h")).limit(0)
     distinct = stage(windows.select(F.col("h").alias("b_h")).distinct(), work_path(spark, "bench-hashes"))
     hits = stage(made.join(distinct, F.col("h") == F.col("b_h"), "left_semi"), work_path(spark, "bench-hits"))
     named = windows.withColumnRenamed("h", "b_h")
@@ -163,7 +187,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     keyed = docs.select("text", *_keys(docs))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
     texts = keyed.join(wanted, same, "left_semi").groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t")).agg(F.min("text").alias("text"))
-    read = texts.select("d", "t", raw_tokens(F.col("text")).alias("doc_raw"), *_forms("doc_canonical", "doc_caseless"))
+    read = texts.select("d", "t", raw_tokens(F.col("text")).alias("doc_raw"), marked_tokens(F.col("text")).alias("marked"))
+    read = read.select("d", "t", "doc_raw", F.transform("marked", canonical).alias("doc_canonical"), F.transform("marked", caseless).alias("doc_caseless"))
     about = items.select(F.col("item_id").alias("i"), "raw", "canonical", "caseless")
     joined = pairs.join(read, same).join(about, F.col("item_id") == F.col("i"))
 
