@@ -168,6 +168,7 @@ def cluster(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, seed: i
     centroids = starts(vectors, k, seed)
     if not len(centroids):
         return None
+    out = work_path(spark, "clustered")
     with Workspace(spark, "clustering") as work:
         state = work.stage(first_pass(vectors, centroids), "pass")
         done = [state.agg(F.count(F.lit(1)), F.count(F.lit(1))).first()]
@@ -179,7 +180,7 @@ def cluster(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, seed: i
             done.append(state.agg(F.sum("scans"), F.count(F.lit(1))).first())
             discard(spark, f"{work.folder}/{work.made - 1:03d}-pass")
         # bounds leave the distances of settled vectors as they were
-        final = stage(exact(state, centroids), work_path(spark, "clustered"))
+        final = stage(exact(state, centroids), out)
     scans = [row[0] for row in done]
     passes = [(scans[0], done[0][1])] + [(late - early, row[1]) for early, late, row in zip(scans, scans[1:], done[1:])]
     return Clustered(final, centroids, passes)

@@ -283,15 +283,17 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     """One row per node of the trie of the conversations as they are; stored."""
     spark = conversations.sparkSession
     ship(spark)
+    out = work_path(spark, "trie-nodes")
     with Workspace(spark, "trie") as work:
         turns = numbered(conversations, work)
-        return stage(trie(turns, work.stage(lengths(turns), "lengths"), work), work_path(spark, "trie-nodes"))
+        return stage(trie(turns, work.stage(lengths(turns), "lengths"), work), out)
 
 
 def report(conversations: DataFrame) -> DataFrame:
     """One row per node of the trie of the rebuilt conversations; stored."""
     spark = conversations.sparkSession
     ship(spark)
+    out = work_path(spark, "trie-nodes")
     with Workspace(spark, "trie") as work:
         turns, members = rebuilt(numbered(conversations, work), work)
-        return stage(trie(turns, members, work), work_path(spark, "trie-nodes"))
+        return stage(trie(turns, members, work), out)
