@@ -21,7 +21,8 @@ question with other numbers and names is found, while text that merely shares a
 
 Nulls: null texts are empty and match nothing. A contaminated row with a null id is reported with a null id and
 removed by :func:`clean` like any other (rows are decided by id; those without one by their text). Items with equal text count
-once, under their smallest id; null items are ignored. Empty tables give empty results. Repeated rows count once
+once, under their smallest id; null items are ignored. Texts of any length are tokenised as a whole. Of rival mappings that are equally frequent the first in order counts. Only
+``doc_id`` and ``text`` are read; :func:`clean` hands on all columns, packed, so that no name clashes. Empty tables give empty results. Repeated rows count once
 in the report.
 """
 

@@ -13,7 +13,7 @@ A second pass decodes the whole texts. A token is cold if, whatever stands aroun
 sequence of tags over cold tokens alone is then worse than O, and so is one that reaches over more than some number of them (:class:`Bounds`). So decoding the
 tokens around the others, which are few, gives the tags of the whole text. Whether a token is cold after a cue, or else, is worked out once for each word.
 
-Tagged spans that meet no base span are added with kind ``crf``. Positions are code points, ends exclusive. Nulls: a null
+Of equally good tags O comes first, then B. Texts of any length are read as a whole. Tagged spans that meet no base span are added with kind ``crf``. Positions are code points, ends exclusive. Nulls: a null
 text is empty; rows are scanned one by one, repeated or not, with or without id. Without any base span in the table there
 is nothing to learn from, and no span is added. An empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """

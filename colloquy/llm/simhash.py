@@ -20,7 +20,8 @@ components of all links. They come from alternating large-star and small-star st
 
 Nulls: a null text is empty; without words the fingerprint is zero, and linked like any other. A null id
 belongs to its fingerprint's group but cannot name it; a group of null ids only has a null component. Repeated rows get one
-result each. An empty table gives an empty result. :func:`one_per_group` keeps all columns.
+result each. Texts of any length are hashed as a whole, in chunks of bounded size; a bit that half of the hashes have is 0. An empty table gives an empty result.
+:func:`one_per_group` keeps all columns, packed, so that no name clashes.
 """
 
 from __future__ import annotations
