@@ -9,8 +9,8 @@ parts, so that no task holds an unbounded list; they meet again one step up. Onl
 
 A bin packed into another is moved as a whole: its pieces keep their order, and offsets add up.
 
-Words are tokenised once: a text is split at blanks, tabs and line ends, which never belong to a token of the vocabulary, and
-the ids of each word are kept in a bounded table. That gives the ids of the whole text: normalisation and special tokens
+Words are tokenised once: a text is split at white space, which never belong to a token of the vocabulary; its words that are
+not known yet are tokenised together, and the ids of each are kept in two bounded tables, the older of which goes when the newer is full. That gives the ids of the whole text: normalisation and special tokens
 don't reach over white space. :func:`token_bytes` is tested against the tokeniser on whole texts.
 
 Nulls: a null text is empty, and an empty text is its end mark alone; a null id is handed on. Repeated rows are packed one by
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import re
+import string
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -36,35 +37,70 @@ from tokenizers import Tokenizer
 from colloquy.llm.text import require
 from colloquy.session import Workspace, ship, stage, work_path
 
+ALPHANUMERIC = frozenset(string.ascii_letters + string.digits)
 CAPACITY, END, VOCABULARY = 4_096, 1, "word_bpe_49k.json"
 #: Pieces packed at once by a reading task; children of a parent; bins that a parent packs at once; room that may stay empty.
 BLOCK, FAN, MOST, SLACK = 16_384, 8, 65_536, 8
-#: Words whose ids are kept, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 200_000, 64
+#: Words whose ids are kept in either table (some 80 MB at most), and the longest of them.
+KEPT_WORDS, KEPT_LENGTH = 400_000, 64
 BLANKS = re.compile(r"[ \t\n\r]+")
+#: Characters at which Python splits words and the vocabulary's tokeniser does not.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, offset bigint, fill bigint, task bigint"
 
 
+def _parts(word: str) -> tuple[str, ...]:
+    """The word, or words with the same ids: marks after an ASCII letter or digit are a token of their own, and ASCII capitals count as lower case."""
+    if "<|" in word:  # may be a special token
+        return (word,)
+    stem = word.rstrip(string.punctuation)
+    lower = stem.lower() if stem.isascii() else stem
+    if not stem or stem[-1] not in ALPHANUMERIC:
+        return (word.lower() if word.isascii() else word,)
+    return (lower,) if stem == word else (lower, word[len(stem) :])
+
+
 @functools.lru_cache(maxsize=4)
 def token_bytes(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids, as little-endian unsigned 32-bit numbers."""
-    tokenizer, known = Tokenizer.from_file(path), {}
-
-    def encoded(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    tokenizer = Tokenizer.from_file(path)
+    known: dict[str, bytes] = {}
+    earlier: dict[str, bytes] = {}
+
+    def encoded(words: list[str]) -> Iterator[bytes]:
+        """Ids of each word, from one call over all of them; a token's place in the text tells its word."""
+        found = tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
+        ends = np.searchsorted([at for at, _ in found.offsets], starts).tolist()
+        return (ids[4 * a : 4 * b] for a, b in zip(ends, ends[1:]))
 
     def ids(text: str) -> bytes:
-        words = BLANKS.split(text)
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
+        nonlocal known, earlier
+        words = text.split() if not any(c in text for c in SEPARATORS) else BLANKS.split(text)
+        found = list(map(known.get, words))
+        if None not in found:
+            return b"".join(found)
+        new = list({w for w, f in zip(words, found) if f is None})
+        if len(known) + len(new) > KEPT_WORDS:  # words in use come back from the table before
+            earlier, known = known, {}
             new = list(set(words))
-        known.update(zip(new, encoded(new)))
+        parts = [_parts(w) for w in new]
+        unknown = []
+        for part in {part for found in parts for part in found}:
+            if part in earlier:
+                known[part] = earlier[part]
+            elif part not in known:
+                unknown.append(part)
+        if unknown:
+            known.update(zip(unknown, encoded(unknown)))
+        for w, found in zip(new, parts):
+            known[w] = known[found[0]] if len(found) == 1 else known[found[0]] + known[found[1]]
         out = b"".join(map(known.__getitem__, words))
-        for w in new:
+        for w in [*new, *unknown]:
             if len(w) > KEPT_LENGTH:
-                del known[w]
+                known.pop(w, None)
         return out
 
     return ids
@@ -177,6 +213,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     """
     require(docs, "doc_id", "text")
     spark = docs.sparkSession
+    out = work_path(spark, "packed")
     with Workspace(spark, "packing") as work:
         placed = work.stage(placed_locally(docs, path, capacity, end, block), "placed")
         underfull = placed.where((F.col("offset") == 0) & (F.col("fill") < capacity - slack))
@@ -187,7 +224,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
         else:
             done = placed.join(moves, F.col("bin") == F.col("item"), "left").select(
                 *columns, F.coalesce("sequence", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
-        return stage(done, work_path(spark, "packed"))
+        return stage(done, out)
 
 
 def sequences(docs: DataFrame, packed: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:

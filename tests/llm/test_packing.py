@@ -43,7 +43,7 @@ def check(docs, made, tokenizer, capacity=packing.CAPACITY):
     return lengths
 
 
-TEXTS = ["", " ", "Hello, World!!", "İstanbul ΣΑΣ ς ﬁne", "á e ́x", "\x1c\x1d|\x85 b c", "don't I'LL <|endoftext|> <|startoftext|>x", "x" * 500, "漢字 123456 ½ ⅷ", "​﻿ a b"]
+TEXTS = ["", " ", "Hello, World!!", "İstanbul ΣΑΣ ς ﬁne", "á e ́x", "\x1c\x1d|\x85 b c", "don't I'LL <|endoftext|> <|startoftext|>x", "x" * 500, "漢字 123456 ½ ⅷ", "one. Two, THREE!? (four) \"five\". <|ENDOFTEXT|>. x<|endoftext|>, naïve, 6. 's. it's, A.B.C. ...", "​﻿ a b"]
 
 
 @pytest.mark.parametrize("kept", [packing.KEPT_WORDS, 3])
@@ -52,7 +52,7 @@ def test_ids(tokenizer, documents, monkeypatch, kept):
     encode = packing.token_bytes.__wrapped__(PATH)
     draw = random.Random(1)
     texts = TEXTS + [draw.choice(" \n\t\r").join(draw.choices(TEXTS, k=5)) for _ in range(200)]
-    texts += ["".join(draw.choices("aZ ß'ſ́̀\n Σ9!<|>é", k=30)) for _ in range(500)] + [r["text"] for r in documents.collect()]
+    texts += ["".join(draw.choices("aZ ß'.,)!\"ſ́̀\n Σ9!<|>é", k=30)) for _ in range(500)] + [r["text"] for r in documents.collect()]
     for text in texts:
         assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
