@@ -173,11 +173,13 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFrame | None = None) -> DataFrame:
+def mix_down(
+    slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFrame | None = None, n_shards: int | None = None
+) -> DataFrame:
     """Add the slices of each track into one waveform, add its noise, limit the peak.
 
     Returns ``(track_id, audio, snr)``; ``snr`` is the measured ratio, null without noise. With a ``shard`` column
-    the slices are partitioned by shard, so that a finished track is already where its file is written.
+    the slices are partitioned by shard, one task for each of ``n_shards``, so that a finished track is already where its file is written.
     ``rows`` (same keys, any further columns) travel with the slices and come back as the struct ``row``: the
     finished audio needs no join.
     """
@@ -191,12 +193,16 @@ def mix_down(slices: DataFrame, p: TrackParams, noise: bool = True, rows: DataFr
         row_type = T.StructType.fromDDL(f"row {tagged.schema['row'].dataType.simpleString()}")["row"].dataType
         arrow_row_type = to_arrow_type(row_type)
         slices = slices.unionByName(tagged, allowMissingColumns=True)
-    planned = by_track(with_spec(slices, p).select(
+    planned = with_spec(slices, p).select(
         *keys, "total_samples", "position", "gain", "half_tail", "block", "chunk",
         *(["row"] if row_type else []),
         (F.col("noise_type") if noise else F.lit(None).cast("string")).alias("noise_type"), "snr_db",
         F.conv(F.substring(rng.digest(p.seed, "noise", "track_id"), 1, 15), 16, 10).cast("bigint").alias("noise_key"),
-    ), keys[0])
+    )
+    if n_shards:  # by the column itself, so that grouping by it finds its rows in place
+        planned = planned.withColumn("shard", F.col("shard").cast("int")).repartitionById(n_shards, "shard")
+    else:
+        planned = by_track(planned, keys[0])
 
     def one_track(table: pa.Table) -> pa.Table:
         first = {name: table.column(name)[0].as_py() for name in (*keys, "noise_type", "snr_db", "noise_key")}

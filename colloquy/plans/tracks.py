@@ -108,11 +108,11 @@ def run(
     good = turns.join(failed.select("track_id"), "track_id", "left_anti")
     lengths = good.groupBy("track_id").agg(F.max("cum_after").alias("n"))
     sizes = lengths.select("track_id", tables.row_bytes(tables.wav_bytes(F.col("n"))).alias("bytes"))
-    shards = tables.assign_shards(sizes, max_megabytes * 1024 * 1024).select("track_id", "shard")
+    shards = stage(tables.assign_shards(sizes, max_megabytes * 1024 * 1024).select("track_id", "shard"), shards_at := work_path(spark, "shards"))
     meta = rows.track_rows(labels.with_text(good, utterances), p).drop("snr").join(shards, "track_id")
     pieces = waveforms.pieces(good.join(shards, "track_id"), p)
     slices = waveforms.cut_slices(pieces, waveforms.pack_audio(wanted))
-    mixed = waveforms.mix_down(slices, p, rows=meta)
+    mixed = waveforms.mix_down(slices, p, rows=meta, n_shards=tables.count_shards(shards))
     tracks = mixed.select(
         "shard", "track_id", "row.*", F.round("snr", 2).alias("snr"),
         F.struct(F.col("audio").alias("array"), F.lit(p.sampling_rate).cast("bigint").alias("sampling_rate")).alias("audio"),
@@ -120,5 +120,5 @@ def run(
     manifest = tables.write_tracks(tracks, out)
     totals = manifest.agg(F.coalesce(F.sum("tracks"), F.lit(0)).alias("tracks"), F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
     totals = totals.crossJoin(failed.agg(F.count("*").alias("failed")))  # one row each
-    discard(spark, turns_at, *made.stored)
+    discard(spark, turns_at, shards_at, *made.stored)
     return Report(manifest, failed, totals)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..operators.numbering import running_totals
 from ..operators.rows import TRACK_COLUMNS
 from ..params import ROW_OVERHEAD_BYTES
-from ..session import by_track
 
 # Shard size, tracks per committed batch, compression.
 SHARD_MEGABYTES = 100
@@ -50,6 +49,11 @@ def assign_shards(sizes: DataFrame, max_bytes: int, id_col: str = "track_id", wi
     ).select(*sizes.columns, "shard")
 
 
+def count_shards(shards: DataFrame) -> int:
+    """Number of shards of rows with a ``shard``; one at least."""
+    return (shards.agg(F.max("shard")).first()[0] or 0) + 1
+
+
 def to_track_schema(tracks: DataFrame, keep: tuple[str, ...] = ("track_id",)) -> DataFrame:
     """Exactly the stored columns and types, in order; absent optional columns become null."""
     have = set(tracks.columns)
@@ -70,7 +74,8 @@ def write_tracks(
 ) -> DataFrame:
     """Write track rows as one Parquet file per shard, replacing what was there; returns the manifest.
 
-    Rows that have a ``shard`` column are taken to be partitioned by it and are written where they are.
+    A task writes a shard: there is one file for it and no folder, however many shards there are. Rows that have a ``shard`` column are
+    taken to be partitioned by its value (:meth:`DataFrame.repartitionById`) and are written where they are.
     Others get one from ``sizes``, ``(track_id, bytes)``. Take that from the planned sample counts where tracks are
     costly; without it the rows are measured, which evaluates ``tracks`` twice.
     """
@@ -80,11 +85,11 @@ def write_tracks(
         if sizes is None:
             measured = wav_bytes(F.coalesce(F.size("audio.array"), F.lit(0)).cast("bigint"))
             sizes = tracks.select("track_id", row_bytes(measured).alias("bytes"))
-        shards = assign_shards(sizes, max_megabytes * 1024 * 1024)
-        shaped = by_track(shaped.join(shards.select("track_id", "shard"), "track_id"), "shard")
+        shards = assign_shards(sizes, max_megabytes * 1024 * 1024).select("track_id", "shard")
+        shaped = shaped.join(shards, "track_id").repartitionById(count_shards(shards), F.col("shard").cast("int"))
     (
         shaped.sortWithinPartitions("shard", "track_id")
-        .write.mode("overwrite").partitionBy("shard")
+        .write.mode("overwrite")
         .option("compression", COMPRESSION)
         .option("parquet.compression.codec.zstd.level", COMPRESSION_LEVEL)
         .option("parquet.block.size", row_group_bytes)
@@ -95,7 +100,7 @@ def write_tracks(
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """Files of a written track table with their row counts."""
-    stored = spark.read.schema("track_id bigint, shard int").parquet(path)  # given, as a run may have made no track
+    stored = spark.read.schema("track_id bigint, shard bigint").parquet(path)  # given, as a run may have made no track
     return stored.groupBy("shard", F.col("_metadata.file_path").alias("file")).agg(
         F.count("*").alias("tracks"), F.first("_metadata.file_size").alias("bytes")
     )
