@@ -8,14 +8,16 @@ the parity of the current run and the walk so far, so two windows over (track, t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rng
+from ..session import by_track
 
 # Chance that the interviewer asks again, that a group speaker goes on; speaker counts.
 ASK_AGAIN = 0.8
@@ -110,16 +112,22 @@ def assign_speakers_sequential(
 ) -> DataFrame:
     """Extension point for an order of speech that has no window form.
 
-    ``choose(turn, n_spk, u, v, spoken)`` returns the next speaker; ``spoken`` is the list so far. Spark
-    hands over one track at a time, so the work is spread by track.
+    ``choose(turn, n_spk, u, v, spoken)`` returns the next speaker; ``spoken`` is the list so far. Turns are partitioned by
+    track and sorted; they pass in batches, whatever the number of tracks, and the list goes on from one batch to the next.
     """
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in turns.schema.fields)
 
-    def one_track(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("turn", ignore_index=True)
-        spoken: list[int] = []
-        for row in pdf[["turn", "n_spk", "u", "v"]].itertuples(index=False):
-            spoken.append(int(choose(row.turn, row.n_spk, row.u, row.v, spoken)))
-        return pdf.assign(spk=spoken)
-
-    return turns.groupBy("track_id").applyInPandas(one_track, f"{fields}, spk bigint")
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        track, spoken = object(), []
+        for batch in batches:
+            columns = [batch.column(name).to_pylist() for name in ("track_id", "turn", "n_spk", "u", "v")]
+            chosen = []
+            for own, *values in zip(*columns):
+                if own != track:
+                    track, spoken = own, []
+                spoken.append(int(choose(*[math.nan if x is None else x for x in values], spoken)))
+                chosen.append(spoken[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chosen, pa.int64())], [*batch.schema.names, "spk"])
+
+    ordered = by_track(turns).sortWithinPartitions("track_id", F.asc_nulls_last("turn"))
+    return ordered.mapInArrow(in_order, f"{fields}, spk bigint")

@@ -15,7 +15,7 @@ from ..functions.timing import centis, seconds
 from ..operators import labels, patterns, pools, quality, rows, sketches, specs, waveforms
 from ..operators.turns import plan_turns
 from ..params import NOISE_TYPES, TrackParams
-from ..session import tune, work_path
+from ..session import by_track, tune, work_path
 from ..sinks import layout, tables, wav
 from ..sinks.ledger import Ledger, audio_paths
 from ..sinks.versions import Versions
@@ -231,7 +231,8 @@ def _speech_order(spark: SparkSession, sf_dir: str, pattern: str | None) -> Data
 
 
 def _drawn_turns(spark: SparkSession, sf_dir: str, pattern: str | None) -> DataFrame:
-    spec = specs.with_spec(adapters.track_requests(spark, sf_dir), DEFAULT)
+    wanted = adapters.track_requests(spark, sf_dir)
+    spec = specs.with_spec(by_track(wanted, rows=20 * wanted.count()), DEFAULT)
     if pattern is not None:
         u = rng.lane(rng.digest(DEFAULT.seed, "spec", "track_id"), 1)
         spec = spec.withColumn("pattern", F.lit(pattern)).withColumn("n_spk", specs.speaker_count(F.col("pattern"), u))
