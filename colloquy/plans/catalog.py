@@ -15,7 +15,7 @@ from ..functions.timing import centis, seconds
 from ..operators import labels, patterns, pools, quality, rows, sketches, specs, waveforms
 from ..operators.turns import plan_turns
 from ..params import NOISE_TYPES, TrackParams
-from ..session import by_track, tune, work_path
+from ..session import by_track, stage, tune, work_path
 from ..sinks import layout, tables, wav
 from ..sinks.ledger import Ledger, audio_paths
 from ..sinks.versions import Versions
@@ -356,7 +356,7 @@ def plan_sim_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def all_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = event_plan(spark, sf_dir).turns
+    turns = stage(event_plan(spark, sf_dir).turns, work_path(spark, "turns"))  # read twice
     return labels.all_activity(labels.segments(turns, DEFAULT), labels.simultaneous_segments(turns, DEFAULT))
 
 
