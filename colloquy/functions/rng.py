@@ -109,11 +109,14 @@ def distinct_below(n: Column, k: Column, draw: Callable[[Column], Column]) -> Co
     ``k`` steps whatever ``n`` is, and no candidate list is ever formed.
     """
     empty = F.array().cast("array<bigint>")
+    steps = F.sequence(F.lit(0).cast("bigint"), F.greatest(k, F.lit(1)) - 1)
 
-    def step(taken: Column, i: Column) -> Column:
-        last = n - k + i
-        drawn = below(draw(i), last + 1)
-        return F.array_append(taken, F.when(F.array_contains(taken, drawn), last).otherwise(drawn))
+    def settle(drawn: Column) -> Column:
+        def step(taken: Column, i: Column) -> Column:
+            own = F.element_at(drawn, (i + 1).cast("int"))
+            return F.array_append(taken, F.when(F.array_contains(taken, own), n - k + i).otherwise(own))
 
-    steps = F.sequence(F.lit(0).cast("bigint"), F.greatest(k, F.lit(1)) - 1)
-    return F.when(k > 0, F.aggregate(steps, empty, step)).otherwise(empty)
+        # mostly no value is drawn twice, and then every step keeps its own
+        return F.when(F.size(F.array_distinct(drawn)) == F.size(drawn), drawn).otherwise(F.aggregate(steps, empty, step))
+
+    return F.when(k > 0, bind(F.transform(steps, lambda i: below(draw(i), n - k + i + 1)), settle)).otherwise(empty)
