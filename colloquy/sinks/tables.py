@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.numbering import running_totals
 from ..operators.rows import TRACK_COLUMNS
 from ..params import ROW_OVERHEAD_BYTES
+from ..session import discard, qualified, stage, work_path
 
 # Shard size, tracks per committed batch, compression.
 SHARD_MEGABYTES = 100
@@ -16,6 +19,8 @@ COMPRESSION = "zstd"
 COMPRESSION_LEVEL = 9
 #: Row groups are cut by size, so that a reader holds a part of a shard only.
 ROW_GROUP_BYTES = 16 << 20
+#: Planned bytes of the shards that a task writes one after the other, at most.
+TASK_BYTES = 1 << 30
 
 
 def row_bytes(audio_bytes: Column) -> Column:
@@ -54,6 +59,43 @@ def count_shards(shards: DataFrame) -> int:
     return (shards.agg(F.max("shard")).first()[0] or 0) + 1
 
 
+def shards_to_task(spark: SparkSession, n_shards: int, max_bytes: int) -> int:
+    """How many shards a task may write: as many as keep all shuffle partitions busy, within :data:`TASK_BYTES`."""
+    return max(1, min(n_shards // int(spark.conf.get("spark.sql.shuffle.partitions")), TASK_BYTES // max_bytes))
+
+
+def deal_shards(shards: DataFrame, n_buckets: int) -> DataFrame:
+    """``(shard, _task)`` of the distinct shards, so that those of a task fall into different buckets of ``n_buckets``."""
+    bucket = F.pmod(F.hash("shard"), F.lit(n_buckets))  # as Spark's bucketed writer has it
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("shard")) - 1
+    numbers = shards.select(F.col("shard").cast("bigint").alias("shard")).distinct()
+    return numbers.withColumn("_bucket", bucket).select("shard", rank.alias("_task"))
+
+
+def write_dealt(rows: DataFrame, tasks: DataFrame, n_buckets: int, path: str, order: str, **options: object) -> None:
+    """Write rows with a ``shard`` as one Parquet file per shard in one folder, replacing what was there.
+
+    ``tasks`` is what :func:`deal_shards` made of their shards. A bucketed writer begins a file wherever the bucket changes. As no
+    two shards of a task share a bucket, it writes several shards, and yet a file for each.
+    """
+    spark, columns = rows.sparkSession, rows.columns
+    options = {"compression": COMPRESSION, "parquet.compression.codec.zstd.level": COMPRESSION_LEVEL} | options
+    n_tasks = (tasks.agg(F.max("_task")).first()[0] or 0) + 1
+    placed = rows.join(tasks, "shard").repartitionById(n_tasks, F.col("_task").cast("int")).select(*columns)
+    if n_buckets == 1:  # a shard to a task; also where there are no rows, of which the schema is stored
+        placed.sortWithinPartitions(order).write.mode("overwrite").options(**options).parquet(path)
+        return
+    name, place = f"shards_{uuid.uuid4().hex}", qualified(spark, path).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({rows.schema.toDDL()}) USING parquet OPTIONS ({', '.join(f"'{k}' = '{v}'" for k, v in options.items())}) "
+        f"CLUSTERED BY (shard) SORTED BY (shard, {order}) INTO {n_buckets} BUCKETS LOCATION '{place}'"
+    )
+    try:
+        placed.write.insertInto(name, overwrite=True)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the files stay
+
+
 def to_track_schema(tracks: DataFrame, keep: tuple[str, ...] = ("track_id",)) -> DataFrame:
     """Exactly the stored columns and types, in order; absent optional columns become null."""
     have = set(tracks.columns)
@@ -74,28 +116,35 @@ def write_tracks(
 ) -> DataFrame:
     """Write track rows as one Parquet file per shard, replacing what was there; returns the manifest.
 
-    A task writes a shard: there is one file for it and no folder, however many shards there are. Rows that have a ``shard`` column are
-    taken to be partitioned by its value (:meth:`DataFrame.repartitionById`) and are written where they are.
-    Others get one from ``sizes``, ``(track_id, bytes)``. Take that from the planned sample counts where tracks are
+    There is one file for a shard and no folder, however many shards there are. Rows that have a ``shard`` column are
+    taken to be partitioned by its value (:meth:`DataFrame.repartitionById`) and are written where they are, a shard by a task.
+    Others get one from ``sizes``, ``(track_id, bytes)``, and a task writes several shards. Take that from the planned sample counts where tracks are
     costly; without it the rows are measured, which evaluates ``tracks`` twice.
     """
+    spark = tracks.sparkSession
     shaped = to_track_schema(tracks, keep=("shard", "track_id"))
     shaped = shaped.withColumn("speakers", fill_texts(F.col("speakers")))
     if "shard" not in tracks.columns:
         if sizes is None:
             measured = wav_bytes(F.coalesce(F.size("audio.array"), F.lit(0)).cast("bigint"))
             sizes = tracks.select("track_id", row_bytes(measured).alias("bytes"))
-        shards = assign_shards(sizes, max_megabytes * 1024 * 1024).select("track_id", "shard")
-        shaped = shaped.join(shards, "track_id").repartitionById(count_shards(shards), F.col("shard").cast("int"))
-    (
-        shaped.sortWithinPartitions("shard", "track_id")
-        .write.mode("overwrite")
-        .option("compression", COMPRESSION)
-        .option("parquet.compression.codec.zstd.level", COMPRESSION_LEVEL)
-        .option("parquet.block.size", row_group_bytes)
-        .parquet(path)
-    )
-    return manifest(tracks.sparkSession, path)
+        max_bytes = max_megabytes * 1024 * 1024
+        shards = stage(assign_shards(sizes, max_bytes).select("track_id", "shard"), shards_at := work_path(spark, "shards"))
+        n_buckets = shards_to_task(spark, count_shards(shards), max_bytes)
+        write_dealt(
+            shaped.join(shards, "track_id"), deal_shards(shards, n_buckets), n_buckets, path, "track_id", **{"parquet.block.size": row_group_bytes},
+        )
+        discard(spark, shards_at)
+    else:
+        (
+            shaped.sortWithinPartitions("shard", "track_id")
+            .write.mode("overwrite")
+            .option("compression", COMPRESSION)
+            .option("parquet.compression.codec.zstd.level", COMPRESSION_LEVEL)
+            .option("parquet.block.size", row_group_bytes)
+            .parquet(path)
+        )
+    return manifest(spark, path)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
